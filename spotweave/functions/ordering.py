@@ -48,9 +48,13 @@ def running_sum(df: DataFrame, by: list[str], order: Sequence[Column], value: Co
 
 
 def row_rank(df: DataFrame, by: list[str], order: Sequence[Column], out: str,
-             row_limit: int | None = None) -> DataFrame:
-    """``row_number`` along a total order (1-based long)."""
+             row_limit: int | None = None, hold: bool = False) -> DataFrame:
+    """``row_number`` along a total order (1-based long).
+
+    ``hold`` materialises an expensive input once, for the size check and the rank.
+    """
     limit = runtime.GROUP_ROW_LIMIT if row_limit is None else row_limit
+    df = durable(df) if hold else df
     if largest_group(df, by) <= limit:
         ranked = df.withColumn(out, F.row_number().over(W.partitionBy(*by).orderBy(*order)))
         return ranked.withColumn(out, F.col(out).cast("long"))
@@ -60,8 +64,8 @@ def row_rank(df: DataFrame, by: list[str], order: Sequence[Column], out: str,
 def average_rank(df: DataFrame, by: list[str], value: str, out: str,
                  row_limit: int | None = None) -> DataFrame:
     """Ties share their mean rank. Ties are counted before any ordering."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(
-        F.count(F.lit(1)).alias("_ar_n"))
+    counts = durable(df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(
+        F.count(F.lit(1)).alias("_ar_n")))
     ranks = running_sum(counts, by, [F.col(value).asc()], F.col("_ar_n"), "_ar_cum", row_limit)
     ranks = ranks.select(
         *by, value, (F.col("_ar_cum") - (F.col("_ar_n") - 1) / F.lit(2.0)).alias(out))
@@ -69,20 +73,25 @@ def average_rank(df: DataFrame, by: list[str], value: str, out: str,
 
 
 def value_counts(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    return df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_q_value")).agg(
-        F.count(F.lit(1)).alias("_q_n"))
+    """Rows per distinct value (NULL included), held once: a repeated value is one row."""
+    return durable(df.groupBy(*by, F.col(value).alias("_q_value")).agg(F.count(F.lit(1)).alias("_q_n")))
 
 
 def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, float],
                     row_limit: int | None = None) -> DataFrame:
-    """Linear-interpolated quantiles per group, one output column per name.
+    """Linear-interpolated quantiles per group, one output column per name."""
+    return quantiles_of_counts(value_counts(df, by, value), by, probs, row_limit)
+
 
-    Repeated values are counted first, so a value shared by a third of all rows
-    is one row here. Groups with too many distinct values for one in-memory map
-    are ordered by range instead.
+def quantiles_of_counts(counts: DataFrame, by: list[str], probs: dict[str, float],
+                        row_limit: int | None = None) -> DataFrame:
+    """Quantiles from held value counts.
+
+    A value shared by a third of all rows is one row here. Groups with too many
+    distinct values for one in-memory map are ordered by range instead.
     """
     limit = runtime.GROUP_ROW_LIMIT if row_limit is None else row_limit
-    counts = value_counts(df, by, value)
+    counts = counts.filter("_q_value is not null")
     if largest_group(counts, by) <= limit:
         names = list(probs)
         array = F.percentile(F.col("_q_value").cast("double"),
@@ -119,7 +128,7 @@ def benjamini_hochberg(df: DataFrame, by: list[str], p: str, key: list[str], q:
     Sorted by descending p, q is the running minimum of p * n / rank. Equal p
     values are counted first, so only distinct p values are ordered.
     """
-    counts = value_counts(df, by, p)
+    counts = value_counts(df, by, p).filter("_q_value is not null")
     ranked = running_sum(counts, by, [F.col("_q_value").asc()], F.col("_q_n"), "_bh_rank")
     totals = counts.groupBy(*by).agg(F.sum("_q_n").alias("_bh_n"))
     ranked = ranked.join(totals, by).withColumn(
@@ -149,3 +158,29 @@ def _range_running_min(df: DataFrame, by: list[str], order: Column, value: str,
         .withColumn(out, F.least("_rm_local", "_rm_before"))
         .drop("_rm_part", "_rm_local", "_rm_before")
     )
+
+
+def previous_row(df: DataFrame, by: list[str], order: list[str], columns: dict[str, str],
+                 row_limit: int | None = None) -> DataFrame:
+    """Values of the previous row of the group along ascending ``order`` columns.
+
+    ``columns`` maps source to output names. A large group is range-partitioned;
+    only the last row of every partition crosses to the next one.
+    """
+    limit = runtime.GROUP_ROW_LIMIT if row_limit is None else row_limit
+    names = list(columns)
+    if largest_group(df, by) <= limit:
+        w = W.partitionBy(*by).orderBy(*order)
+        return df.select("*", *[F.lag(c).over(w).alias(columns[c]) for c in names])
+    keys = [F.col(c) for c in (*by, *order)]
+    tagged = durable(df.repartitionByRange(*keys).sortWithinPartitions(*keys)).withColumn(
+        "_pr_part", F.spark_partition_id())
+    lasts = tagged.groupBy("_pr_part", *by).agg(
+        F.max_by(F.struct(*names), F.struct(*order)).alias("_pr_last"))
+    lasts = lasts.withColumn("_pr_before", F.lag("_pr_last").over(
+        W.partitionBy(*by).orderBy("_pr_part"))).drop("_pr_last")
+    w = W.partitionBy("_pr_part", *by).orderBy(*order)
+    local = tagged.withColumn("_pr_local", F.lag(F.struct(*names)).over(w))
+    out = local.join(lasts, ["_pr_part", *by]).withColumn(
+        "_pr", F.coalesce("_pr_local", "_pr_before"))
+    return out.select(*df.columns, *[F.col("_pr")[c].alias(columns[c]) for c in names])

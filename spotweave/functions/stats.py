@@ -4,23 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spotweave.functions.ordering import average_rank, exact_quantiles
+from spotweave.functions.ordering import average_rank, quantiles_of_counts, value_counts
 
 QUARTILES = {"q25": 0.25, "median": 0.5, "q75": 0.75}
 
 
 def distribution(df: DataFrame, by: list[str], value: str,
                  probs: dict[str, float] | None = None) -> DataFrame:
-    """N, n_missing, min, quantiles, mean, max of one column per group."""
+    """N, n_missing, min, quantiles, mean, max, zeros of one column per group.
+
+    Everything comes from one held table of value counts, so the input is read once.
+    """
     probs = QUARTILES if probs is None else probs
-    basic = df.groupBy(*by).agg(
-        F.count(value).alias("n"),
-        F.sum(F.col(value).isNull().cast("long")).alias("n_missing"),
-        F.min(value).cast("double").alias("min"),
-        F.avg(value).alias("mean"),
-        F.max(value).cast("double").alias("max"),
-    )
-    return basic.join(exact_quantiles(df, by, value, probs), by, "left")
+    counts = value_counts(df, by, value)
+    x, n = F.col("_q_value").cast("double"), F.col("_q_n")
+    known = F.sum(F.when(x.isNotNull(), n).otherwise(0))
+    zeros = F.sum(F.when(x == 0, n).otherwise(0))
+    basic = counts.groupBy(*by).agg(
+        known.alias("n"), F.sum(F.when(x.isNull(), n).otherwise(0)).alias("n_missing"),
+        F.min(x).alias("min"), (F.sum(x * n) / F.nullif(known, F.lit(0))).alias("mean"), F.max(x).alias("max"),
+        zeros.alias("n_zero"), (zeros / F.nullif(known, F.lit(0))).alias("zero_fraction"))
+    return basic.join(quantiles_of_counts(counts, by, probs), by, "left")
+
+
+def stacked(df: DataFrame, by: list[str], metrics: list[str]) -> DataFrame:
+    """Several numeric columns as (by, metric, value) rows, for one pass over all of them."""
+    items = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
+    return df.select(*by, F.explode(items).alias("_m")).select(*by, "_m.metric", "_m.value")
 
 
 def correlation(x: Column, y: Column) -> Column:

@@ -11,7 +11,7 @@ from spotweave.operators.contracts import ContractError, duplicate_keys, enforce
 
 # Design cells and the candidate column names of units and batches.
 DESIGN_CELLS = ("g0_t0", "g0_t1", "g1_t0", "g1_t1")
-REPLICATE_COLUMNS = ("biological_replicate", "animal_id", "subject_id", "donor_id")
+REPLICATE_COLUMNS = ("biological_replicate", "replicate_id", "animal_id")
 BATCH_COLUMNS = ("batch", "batch_id", "technical_batch")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from spotweave.functions.exprs import (
     ELIGIBILITY_REASONS, ELIGIBILITY_STATES, barcode_core_loose, blank_to_null, bounds_status,
     eligibility_flags, label_excluded, reason_text, recommended_keep, state_from_reasons)
-from spotweave.functions.runtime import literal_table
+from spotweave.functions.runtime import durable, literal_table
 from spotweave.operators.contracts import enforce
 
 KEY = ["sample_id", "barcode"]
@@ -43,20 +43,19 @@ def match_roi(roi: DataFrame, positions: DataFrame, by_core: bool = True, orphan
             F.min("barcode").alias("barcode"), F.count(F.lit(1)).alias("_n"))
         rest = rest.withColumn("_core", barcode_core_loose(F.col("roi_barcode"))).join(
             per_core, ["sample_id", "_core"], "left")
-        enforce(rest.filter("_n > 1").select("sample_id", "roi_barcode"), "ROI_BARCODE_MATCH_AMBIGUOUS")
         method = F.when(F.col("barcode").isNotNull(), "10x_suffix_normalized").otherwise("unmatched")
-        rest = rest.withColumn("barcode_match_method", method).drop("_core", "_n")
+        rest = rest.withColumn("barcode_match_method", method).drop("_core")
     else:
         rest = rest.withColumn("barcode", F.lit(None).cast("string")).withColumn(
-            "barcode_match_method", F.lit("unmatched"))
-    out = done.unionByName(rest)
-    matched = out.filter(F.col("barcode").isNotNull())
-    enforce(matched.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"),
+            "barcode_match_method", F.lit("unmatched")).withColumn("_n", F.lit(1).cast("long"))
+    # Held once: three checks and the caller read it.
+    out = durable(done.withColumn("_n", F.lit(1).cast("long")).unionByName(rest))
+    enforce(out.filter("_n > 1").select("sample_id", "roi_barcode"), "ROI_BARCODE_MATCH_AMBIGUOUS")
+    enforce(out.filter("barcode is not null").groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"),
             "ROI_BARCODE_MATCH_AMBIGUOUS")
     if orphans == "error":
-        enforce(out.filter(F.col("barcode").isNull()).select("sample_id", "roi_barcode"),
-                "ROI_ORPHAN_BARCODE")
-    return out
+        enforce(out.filter("barcode is null").select("sample_id", "roi_barcode"), "ROI_ORPHAN_BARCODE")
+    return out.drop("_n")
 
 
 def match_summary(matched: DataFrame) -> DataFrame:

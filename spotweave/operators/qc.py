@@ -64,10 +64,7 @@ BACKGROUND_QUANTILES = {"q01": 0.01, "q25": 0.25, "median": 0.5, "q75": 0.75, "q
 
 def background_distribution(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """Distribution with zero counts and outer quantiles."""
-    zeros = df.groupBy(*by).agg(
-        F.count_if(F.col(value) == 0).alias("n_zero"),
-        (F.count_if(F.col(value) == 0) / F.nullif(F.count(value), F.lit(0))).alias("zero_fraction"))
-    return distribution(df, by, value, BACKGROUND_QUANTILES).join(zeros, by)
+    return distribution(df, by, value, BACKGROUND_QUANTILES)
 
 
 def raw_with_positions(positions: DataFrame, raw_metrics: DataFrame) -> DataFrame:

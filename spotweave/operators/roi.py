@@ -153,7 +153,7 @@ def roi_effects(counts: DataFrame, spots: DataFrame, excluded=(), min_roi_spots:
     # Equal effects must tie exactly, whatever order the sums were added in.
     e = e.withColumn("log2_fc_cp10k_roi_vs_rest", F.round("log2_fc_cp10k_roi_vs_rest", 12))
     ranked = row_rank(e, ROI, [F.col("log2_fc_cp10k_roi_vs_rest").desc(), F.col("gene_id").asc()],
-                      "effect_rank_descending")
+                      "effect_rank_descending", hold=True)
     return ranked.drop("_t_sum", "_t_cp", "_t_det", "_cp", "sum_raw_counts", "sum_cp10k", "detected_spots")
 
 

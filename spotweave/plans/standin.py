@@ -29,6 +29,11 @@ def barcode(key):
     return F.concat(F.translate(digits, "0123", "ACGT"), F.lit("-1"))
 
 
+def epoch_us(column: str):
+    """Microseconds since 1970 of a timestamp without zone, whatever the session zone is."""
+    return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', {column})")
+
+
 def sample_of(key, n: int = 25, prefix: str = "S"):
     return F.concat(F.lit(prefix), (key % n).cast("string"))
 
@@ -160,6 +165,37 @@ def scores(spark, d, dims: int = 8):
                 F.col("score").cast("double").alias("score"))
 
 
+def roi_spots(spark, d, n: int = 25, prefix: str = "S"):
+    """Primary spots with totals, canonical region, recommendation and gene gate (two genes)."""
+    from spotweave.operators.qc import count_metrics
+    from spotweave.operators.roi import apply_aliases
+    m = count_metrics(counts(spark, d, n, prefix)).drop("nnz")
+    p = positions(spark, d, n, prefix).withColumnRenamed("roi_label", "roi_label_source")
+    spots = p.join(m, ["sample_id", "barcode"]).withColumn(
+        "recommended_keep", F.col("in_tissue") == 1).withColumn("min_genes_keep", F.col("n_genes_by_counts") >= 2)
+    return apply_aliases(spots, aliases(spark))
+
+
+def region_spots(spark, d):
+    """Spots for lattice statistics: two regions per section, large and small components."""
+    from spotweave.operators.qc import count_metrics
+    urgent = F.col("roi_label").isin("1-URGENT", "2-HIGH", "3-MEDIUM")
+    m = count_metrics(counts(spark, d)).select("sample_id", "barcode", "total_counts")
+    return positions(spark, d).join(m, ["sample_id", "barcode"]).select(
+        "sample_id", F.when(urgent, "A").otherwise("B").alias("roi"), "observation_id", "array_row", "array_col",
+        "total_counts")
+
+
+def family_counts(spark, d):
+    """Triplets by spot and part brand: few, widely detected genes."""
+    key = F.col("l_orderkey")
+    p = table(spark, d, "part").select("p_partkey", "p_brand")
+    return (
+        table(spark, d, "lineitem").join(p, F.col("l_partkey") == F.col("p_partkey"))
+        .groupBy("l_orderkey", F.col("p_brand").alias("gene_id")).agg(F.sum("l_quantity").cast("long").alias("count"))
+        .select(F.concat(sample_of(key), F.lit("::"), barcode(key)).alias("observation_id"), "gene_id", "count"))
+
+
 _BC = "(translate(to_base(k, 4, 16), '0123', 'ACGT') || '-1')"
 
 
@@ -219,6 +255,55 @@ SQL_VIEWS = {
                   "case when event_type = 'error' then value end as free_gib from events",
     "v_scores": "select vec_id, label, i as pc_index, cast(embedding[i] as double) as score "
                 "from embeddings, range(1, 9) t(i)",
+    "v_roi_spots": "select s.*, s.roi_label as roi_label_source, coalesce(a.canonical_label, s.roi_label) as "
+                   "roi_label_canonical, coalesce(a.status, 'unmapped_identity') as roi_alias_status, "
+                   "coalesce(a.notes, '') as roi_alias_notes, in_tissue = 1 as rec, n_genes_by_counts >= 2 as mg "
+                   "from v_spot_qc s left join v_alias a on s.roi_label = a.source_label where in_primary_matrix",
+    "v_roi_spots4": "select p.*, p.roi_label as roi_label_source, coalesce(a.canonical_label, p.roi_label) as "
+                    "roi_label_canonical, in_tissue = 1 as rec, c.n >= 2 as mg, c.t as total_counts "
+                    "from v_positions4 p join (select sample_id, barcode, count(*) as n, cast(sum(count) as bigint) as t "
+                    "from v_counts4 group by 1, 2) c using (sample_id, barcode) left join v_alias a "
+                    "on p.roi_label = a.source_label",
+    # Pseudobulk of the one-section-per-cell design, every gene of every analysed region.
+    "v_pb4": "select r.sample_id, r.roi_label_canonical, g.gene_id, g.gene_symbol, r.n_spots, "
+             "coalesce(s.c, 0) as sum_raw_counts, coalesce(s.det, 0) as detected_spots from "
+             "(select sample_id, roi_label_canonical, count(*) as n_spots from v_roi_spots4 where rec and mg and "
+             "roi_label_canonical <> '4-NOT SPECIFIED' group by 1, 2) r cross join v_genes g left join "
+             "(select sample_id, roi_label_canonical, gene_id, cast(sum(count) as bigint) as c, count(*) as det from v_counts4 "
+             "join (select * from v_roi_spots4 where rec and mg and roi_label_canonical <> '4-NOT SPECIFIED') "
+             "using (sample_id, barcode) group by 1, 2, 3) s on s.sample_id = r.sample_id and "
+             "s.roi_label_canonical = r.roi_label_canonical and s.gene_id = g.gene_id",
+    "v_norm4": "select *, log2(cpm + 1) as log2_cpm_plus1, detected_spots / n_spots as detection_fraction from "
+               "(select *, sum_raw_counts / library * 1e6::double as cpm from (select *, cast(sum(sum_raw_counts) over "
+               "(partition by sample_id, roi_label_canonical) as bigint) as library from v_pb4))",
+    "v_cells4": "select sample_id, lower(genotype) || '_' || lower(treatment) as design_cell from v_samples4",
+    "v_eff4": "select roi_label_canonical, x.id as contrast_id, gene_id, gene_symbol, round(x.e, 12) as effect, counts as "
+              "combined_raw_counts_four_sections, cells as n_nonzero_design_cells, mindet from (select roi_label_canonical, gene_id, gene_symbol, counts, "
+              "cells, mindet, unnest([{'id': 'treatment_simple_in_reference_genotype', 'e': b - a}, "
+              "{'id': 'treatment_simple_in_alternative_genotype', 'e': d - c}, "
+              "{'id': 'genotype_simple_in_reference_treatment', 'e': c - a}, "
+              "{'id': 'genotype_simple_in_alternative_treatment', 'e': d - b}, "
+              "{'id': 'treatment_main_average', 'e': 0.5 * ((b - a) + (d - c))}, "
+              "{'id': 'genotype_main_average', 'e': 0.5 * ((c - a) + (d - b))}, "
+              "{'id': 'genotype_by_treatment_interaction', 'e': (d - c) - (b - a)}]) as x from (select "
+              "roi_label_canonical, gene_id, gene_symbol, "
+              "max(log2_cpm_plus1) filter (design_cell = 'g0_t0') as a, max(log2_cpm_plus1) filter (design_cell = 'g0_t1') as b, "
+              "max(log2_cpm_plus1) filter (design_cell = 'g1_t0') as c, max(log2_cpm_plus1) filter (design_cell = 'g1_t1') as d, "
+              "cast(sum(sum_raw_counts) as bigint) as counts, count(*) filter (sum_raw_counts > 0) as cells, "
+              "min(detection_fraction) as mindet from v_norm4 join v_cells4 using (sample_id) group by 1, 2, 3))",
+    # Gene ids stand for symbols here: part names repeat too often to rank.
+    "v_rank4": "select roi_label_canonical, contrast_id, gene_id as gene_symbol, effect as original_effect, "
+               "row_number() over (partition by roi_label_canonical, contrast_id order by effect desc, gene_id) as rank "
+               "from v_eff4 where combined_raw_counts_four_sections >= 10 and n_nonzero_design_cells >= 2",
+    "v_region": "select sample_id, case when roi_label in ('1-URGENT', '2-HIGH', '3-MEDIUM') then 'A' else 'B' end as roi, "
+                "observation_id, array_row, array_col, total_counts from v_spot_qc where in_primary_matrix",
+    "v_family": f"select 'S' || (k % 25) || '::' || {_BC} as observation_id, p_brand as gene_id, "
+                "cast(q as bigint) as count from (select l_orderkey as k, p_brand, sum(l_quantity) as q from lineitem "
+                "join part on l_partkey = p_partkey group by 1, 2)",
+    "v_region_edges": "select a.sample_id, a.roi, a.observation_id as src, b.observation_id as dst from v_region a, "
+                      "(values (0, 2), (0, -2), (1, 1), (1, -1), (-1, 1), (-1, -1)) o(dr, dc), v_region b where "
+                      "a.sample_id = b.sample_id and a.roi = b.roi and b.array_row = a.array_row + o.dr and "
+                      "b.array_col = a.array_col + o.dc",
     # Spot totals over all places of the filtered matrix and the rest (0).
     "v_spot_qc": "select p.*, c.barcode is not null as in_primary_matrix, "
                  "coalesce(c.total_counts, 0) as total_counts, "
