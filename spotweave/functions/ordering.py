@@ -12,14 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from spotweave.functions import runtime
-from spotweave.functions.runtime import durable, largest_group
+from spotweave.functions.runtime import durable, largest_group, ordered_partitions
 
 
 def _range_running_sum(df: DataFrame, by: list[str], order: Sequence[Column],
                        value: Column, out: str) -> DataFrame:
     """Running sum over range partitions: local sums plus per-partition offsets."""
     keys = [F.col(c) for c in by] + list(order)
-    tagged = durable(
+    tagged = ordered_partitions(
         df.withColumn("_rs_value", value).repartitionByRange(*keys).sortWithinPartitions(*keys)
     ).withColumn("_rs_part", F.spark_partition_id())
     # One row per (partition, group): at most partitions + groups rows.
@@ -146,7 +146,7 @@ def benjamini_hochberg(df: DataFrame, by: list[str], p: str, key: list[str], q:
 def _range_running_min(df: DataFrame, by: list[str], order: Column, value: str,
                        out: str) -> DataFrame:
     keys = [F.col(c) for c in by] + [order]
-    tagged = durable(df.repartitionByRange(*keys).sortWithinPartitions(*keys)).withColumn(
+    tagged = ordered_partitions(df.repartitionByRange(*keys).sortWithinPartitions(*keys)).withColumn(
         "_rm_part", F.spark_partition_id())
     mins = tagged.groupBy("_rm_part", *by).agg(F.min(value).alias("_rm_min"))
     before = W.partitionBy(*by).orderBy("_rm_part").rowsBetween(W.unboundedPreceding, -1)
@@ -173,7 +173,7 @@ def previous_row(df: DataFrame, by: list[str], order: list[str], columns: dict[s
         w = W.partitionBy(*by).orderBy(*order)
         return df.select("*", *[F.lag(c).over(w).alias(columns[c]) for c in names])
     keys = [F.col(c) for c in (*by, *order)]
-    tagged = durable(df.repartitionByRange(*keys).sortWithinPartitions(*keys)).withColumn(
+    tagged = ordered_partitions(df.repartitionByRange(*keys).sortWithinPartitions(*keys)).withColumn(
         "_pr_part", F.spark_partition_id())
     lasts = tagged.groupBy("_pr_part", *by).agg(
         F.max_by(F.struct(*names), F.struct(*order)).alias("_pr_last"))

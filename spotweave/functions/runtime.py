@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -25,8 +26,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("CHECKPOINT_DIR_UNSET: set spark.checkpoint.dir to a shared folder")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Materialise reliably and cut the lineage; survives executor loss."""
+    """Write to the shared folder and read back: cuts the lineage and survives executor loss.
+
+    A written table also leaves the old plan's inferred constraints behind, which
+    grow with every round of an iterative job, and tells the planner its real size.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def ordered_partitions(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint that keeps partition numbers, for range-partitioned rows."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 

@@ -35,9 +35,11 @@ def stacked(df: DataFrame, by: list[str], metrics: list[str]) -> DataFrame:
 
 def correlation(x: Column, y: Column) -> Column:
     """Pearson r, NULL when either side is constant, clipped to [-1, 1]."""
-    flat = (F.max(x) == F.min(x)) | (F.max(y) == F.min(y))
-    return F.when(~flat & (F.count(F.lit(1)) >= 3),
-                  F.greatest(F.least(F.corr(x, y), F.lit(1.0)), F.lit(-1.0)))
+    n = F.count(F.lit(1)).cast("double")
+    sx, sy = F.stddev_pop(x), F.stddev_pop(y)
+    varied = (F.max(x) > F.min(x)) & (F.max(y) > F.min(y)) & (n >= 3)
+    r = F.try_divide(F.covar_pop(x, y), sx * sy)
+    return F.when(varied, F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
 
 
 def spearman(df: DataFrame, by: list[str], x: str, y: str, out: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spotweave.functions import stats
-from spotweave.functions.runtime import durable
+from spotweave.functions.runtime import durable, scratch_path
 from spotweave.operators import (
     associations, autocorr as ac, cohort, communities as cm, design, enrichment as en, factorial as fx, glm,
     lattice as la, neighbors as nb, pca, roi)
@@ -14,7 +14,6 @@ from spotweave.plans import standin as v
 from spotweave.plans.queries_aggs import EXC, id_effects, rounded
 from spotweave.plans.queries_joins import HEX_SQL
 from spotweave.plans.registry import query
-from spotweave.sources.sinks import scratch_path
 
 KEY = ["sample_id", "barcode"]
 
@@ -324,9 +323,9 @@ cen as materialized (select *, x - avg(x) over (partition by sample_id, roi, gen
 w as materialized (select src, dst, 1.0::double / count(*) over (partition by src) as w from ke),
 s0 as (select sample_id, roi, sum(w) as s0 from w join kept on w.src = kept.id group by 1, 2),
 tot as (select sample_id, roi, gene_id, count(*) as n, sum(y * y) as d, avg(x) as mx, count(distinct comp) as nc from cen group by 1, 2, 3),
-lag as (select a.sample_id, a.roi, a.gene_id, sum(w * a.y * b.y) as cross, sum(w * (a.y - b.y) * (a.y - b.y)) as sq
+lag as (select a.sample_id, a.roi, a.gene_id, sum(w * a.y * b.y) as crs, sum(w * (a.y - b.y) * (a.y - b.y)) as sq
   from w join cen a on w.src = a.id join cen b on w.dst = b.id and b.gene_id = a.gene_id group by 1, 2, 3),
-mg as materialized (select t.sample_id, t.roi, t.gene_id, n, nc, mx, n / s0 * cross / d as moran, (n - 1) / (2 * s0) * sq / d as geary, det, tot
+mg as materialized (select t.sample_id, t.roi, t.gene_id, n, nc, mx, n / s0 * crs / d as moran, (n - 1) / (2 * s0) * sq / d as geary, det, tot
   from tot t join lag using (sample_id, roi, gene_id) join s0 on s0.sample_id = t.sample_id and s0.roi = t.roi
   join gate on gate.sample_id = t.sample_id and gate.roi = t.roi and gate.gene_id = t.gene_id)
 """

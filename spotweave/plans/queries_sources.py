@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from spotweave.functions.runtime import scratch_path
 from spotweave.plans import standin as v
 from spotweave.plans.registry import query
 from spotweave.sources import readers as r, sinks
 
 
 def _tsv(df, name, sep="\t"):
-    path = sinks.scratch_path(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name)
     df.write.csv(path, sep=sep, header=True, emptyValue="", nullValue="")
     return path
 
@@ -21,7 +22,7 @@ def _(spark, d):
 
 
 def mtx_inputs(spark, d):
-    root = sinks.scratch_path(spark, "mtx")
+    root = scratch_path(spark, "mtx")
     genes = v.genes(spark, d).withColumn(
         "feature_type", F.when(F.col("feature_type") == "PROMO", "Antibody Capture")
         .otherwise("Gene Expression"))
@@ -47,7 +48,7 @@ def _(spark, d):
        "select sample_id, barcode, in_tissue, array_row, array_col, pxl_row as pxl_row_in_fullres, "
        "pxl_col as pxl_col_in_fullres from v_positions")
 def _(spark, d):
-    root = sinks.scratch_path(spark, "positions")
+    root = scratch_path(spark, "positions")
     p = v.positions(spark, d).select("sample_id", "barcode", "in_tissue", "array_row", "array_col",
                                      "pxl_row", "pxl_col")
     p.write.partitionBy("sample_id").csv(root, header=True, nullValue="")
@@ -176,7 +177,7 @@ def gmt_folder(spark, d):
     genes = F.array_sort(F.collect_set("gene"))
     lines = v.gene_sets(spark, d).groupBy("term").agg(genes.alias("g")).select(
         F.concat_ws("\t", "term", F.lit("block of parts"), F.array_join("g", "\t"), F.col("g")[0]))
-    path = sinks.scratch_path(spark, "gmt")
+    path = scratch_path(spark, "gmt")
     lines.write.text(path)
     return path
 
@@ -277,7 +278,7 @@ def resource_folder(spark, d):
         .otherwise(F.array().cast("array<struct<code:string>>")).alias("warnings"),
         F.struct(F.col("cpu").alias("cpu_percent_machine_capacity"), F.col("rss").alias("rss_gib"),
                  F.col("vms").alias("vms_gib"), F.col("proj").alias("project_size_gib")).alias("peaks"))
-    root = sinks.scratch_path(spark, "resources")
+    root = scratch_path(spark, "resources")
     out.write.partitionBy("step").json(root + "/runs")
     v.table(spark, d, "region").write.json(root + "/other")
     return root
@@ -367,7 +368,7 @@ def _(spark, d):
 @query("s23_tsv_sink",
        "select sample_id, barcode, cast(in_tissue as varchar) as in_tissue from v_positions")
 def _(spark, d):
-    path = sinks.scratch_path(spark, "tsv")
+    path = scratch_path(spark, "tsv")
     sinks.write_tsv_gz(v.positions(spark, d).select("sample_id", "barcode", "in_tissue"), path)
     out = r.read_text_table(spark, path)
     return out.withColumn("in_tissue", F.nullif("in_tissue", F.lit("")))
@@ -375,14 +376,14 @@ def _(spark, d):
 
 @query("s24_checkpoint_sink", "select * from v_counts")
 def _(spark, d):
-    path = sinks.scratch_path(spark, "checkpoint")
+    path = scratch_path(spark, "checkpoint")
     return sinks.write_checkpoint(v.counts(spark, d), path, {"x_semantics": "raw_counts"})
 
 
 @query("s25_summary_sink",
        "select sample_id, count(*) as n, count(in_tissue) as labeled from v_positions group by 1")
 def _(spark, d):
-    path = sinks.scratch_path(spark, "summary")
+    path = scratch_path(spark, "summary")
     s = v.positions(spark, d).groupBy("sample_id").agg(
         F.count(F.lit(1)).alias("n"), F.count("in_tissue").alias("labeled"))
     sinks.write_summary(s, path)
