@@ -26,7 +26,6 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         best = current.groupBy("src").agg(F.min(F.struct(rank.alias("rank"), F.col("dst").alias("id"))).alias("b"))
         own = F.struct(F.xxhash64("src", F.lit(turn)).alias("rank"), F.col("src").alias("id"))
         to = best.select(F.col("src").alias("id"), F.least(own, F.col("b"))["id"].alias("parent"))
-        to = durable(to)
         for _ in range(2):
             up = to.select(F.col("id").alias("parent"), F.col("parent").alias("_up"))
             to = to.join(up, "parent").select("id", F.col("_up").alias("parent"))

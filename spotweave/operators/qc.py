@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from spotweave.functions.exprs import mitochondrial
 from spotweave.functions.ordering import exact_quantiles, row_rank
+from spotweave.functions.runtime import durable
 from spotweave.functions.stats import distribution
 
 KEY = ["sample_id", "barcode"]
@@ -90,7 +91,8 @@ def tissue_groups(df: DataFrame) -> DataFrame:
 
 def group_summaries(table: DataFrame, value: str = "raw_total_counts") -> DataFrame:
     """Overlapping tissue groups with raw coverage and distribution."""
-    g = tissue_groups(table)
+    # Held once: coverage and distribution both read it.
+    g = tissue_groups(durable(table.select("sample_id", "in_tissue", "raw_barcode_present", value)))
     by = ["sample_id", "position_group"]
     cover = g.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_positions"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from spotweave.functions.ordering import row_rank
+from spotweave.functions.runtime import durable
 
 KEY = ["sample_id", "barcode"]
 ROI = ["sample_id", "roi_label_canonical"]
@@ -98,7 +99,8 @@ def gene_grid(regions: DataFrame, genes: DataFrame, buckets: int = 64) -> DataFr
 
 def pseudobulk(counts: DataFrame, spots: DataFrame, genes: DataFrame, excluded=()) -> DataFrame:
     """Sum, mean, detected spots and fraction for every gene of every analysed region."""
-    use = analysis_spots(spots, excluded)
+    use = durable(analysis_spots(spots, excluded).select(
+        *KEY, "roi_label_canonical", "roi_label_source", "total_counts"))
     regions = use.groupBy(*ROI).agg(
         F.count(F.lit(1)).alias("n_spots"),
         F.array_join(F.array_sort(F.collect_set("roi_label_source")), "|").alias("roi_label_source"))
@@ -120,10 +122,13 @@ def roi_effects(counts: DataFrame, spots: DataFrame, excluded=(), min_roi_spots:
     The rest is section total minus region, so triplets are read once. A gene
     with counts somewhere in the section but none in the region is a zero row.
     """
+    # Spots are far fewer than triplets: held once for the stages and the join.
+    spots = durable(spots.select(*KEY, "roi_label_source", "roi_label_canonical", "roi_alias_status",
+                                 "recommended_keep", "min_genes_keep", "total_counts"))
     use = analysis_spots(spots, excluded)
     stage = roi_stage_counts(spots, excluded, min_roi_spots).filter("contrast_eligible").select(
         *ROI, F.col("n_analysis_spots").alias("n_roi_spots"), "n_rest_spots")
-    sums = roi_gene_sums(counts, use)
+    sums = durable(roi_gene_sums(counts, use))
     section = sums.groupBy("sample_id", "gene_id").agg(
         F.sum("sum_raw_counts").alias("_t_sum"), F.sum("sum_cp10k").alias("_t_cp"),
         F.sum("detected_spots").alias("_t_det"))

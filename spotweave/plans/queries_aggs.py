@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spotweave.functions import exprs as e, ordering as o, stats
+from spotweave.functions.runtime import durable
 from spotweave.operators import cohort, design, eligibility as el, factorial as fx, qc, reporting, roi, score
 from spotweave.plans import standin as v
 from spotweave.plans.queries_exprs import ELIGIBILITY_SQL, GATE_SQL, eligibility
@@ -121,7 +122,7 @@ select code, count(y.barcode), count(y.barcode) filter (in_primary_matrix), 'rea
 left join (select *, unnest(codes) as c from z) y on y.c = code group by 1
 """)
 def _(spark, d):
-    t = eligibility(spark, d)
+    t = durable(eligibility(spark, d).select("eligibility_state", "reason_codes", "in_primary_matrix"))
     return el.state_counts(t).unionByName(el.reason_counts(t))
 
 
@@ -288,7 +289,7 @@ def _(spark, d):
 
 def effects4(spark, d):
     s = samples4(spark, d)
-    c = canonical4(spark, d)
+    c = durable(canonical4(spark, d))
     ok = fx.roi_design_eligibility(c, s, 10)
     return fx.factorial_effects(fx.normalised_pseudobulk(c, check=False), s, ok)
 
