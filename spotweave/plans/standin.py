@@ -68,7 +68,7 @@ def genes(spark, d):
 
 
 def positions(spark, d, n: int = 25, prefix: str = "S"):
-    """Every capture place: tissue flag (NULL for late 'F' orders' label), lattice, pixel, label."""
+    """Every capture place: tissue flag (NULL for finished low-priority orders), lattice, pixel, label."""
     key = F.col("o_orderkey")
     place = F.floor(key / n)
     row = F.floor(place / LATTICE_WIDTH)

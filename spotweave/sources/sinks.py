@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from spotweave.functions.ordering import row_rank
 from spotweave.operators.contracts import ContractError
+from spotweave.operators.roi import gene_grid
 
 
 def write_tsv_gz(df: DataFrame, path: str) -> None:
@@ -70,8 +71,8 @@ def write_mtx(counts: DataFrame, genes: DataFrame, root: str) -> None:
          .text(f"{root}/{name}"))
 
     write(lines.unionByName(heads).unionByName(sizes), "matrix")
-    samples = counts.select("sample_id").distinct().withColumn("_k", F.lit(0))
-    write(g.withColumn("_k", F.lit(0)).join(samples, "_k").select(
+    # Every sample's folder lists every gene: an equi join on gene buckets.
+    write(gene_grid(counts.select("sample_id").distinct(), g).select(
         "sample_id", F.lit(0).alias("ord"), F.col("row").alias("a"), zero.alias("b"),
         F.concat_ws("\t", "gene_id", "gene_symbol", "feature_type").alias("value")), "features")
     write(s.select("sample_id", F.lit(0).alias("ord"), F.col("col").alias("a"), zero.alias("b"),
