@@ -94,6 +94,8 @@ def assess_eligibility(metrics: DataFrame, roi: DataFrame | None, images: DataFr
                        excluded=("Noise",), bounds_action: str = "review", orphans: str = "error"
                        ) -> DataFrame:
     """Reasons, state and recommendation of every place; nothing is dropped."""
+    # The spot table is small next to the triplets behind it: held once for matching and joining.
+    metrics = durable(metrics)
     matched = None if roi is None else match_roi(roi, metrics, orphans=orphans)
     t = decision_table(metrics, matched, images, excluded)
     t = t.withColumn("reason_codes", reason_text(eligibility_flags(roi is not None, bounds_action)))
