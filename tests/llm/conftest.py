@@ -1,0 +1,8 @@
+import pytest
+
+
+@pytest.fixture(scope="session", autouse=True)
+def shared_folder(spark, tmp_path_factory):
+    """Where the cluster names no shared folder, tests set their own."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
