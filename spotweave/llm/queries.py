@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spotweave.llm.common import table
 from spotweave.llm.license_scan import scan_licenses
+from spotweave.llm.simhash_dedup import as_hex, near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +24,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op2_simhash_near_dedup")
+def _(spark, d):
+    found = near_duplicates(table(spark, d, "documents"))
+    return found.select("doc_id", as_hex(found["fp"]).alias("fingerprint"), "component_id")
+
+
 @query("op3_license_scans")
 def _(spark, d):
     return scan_licenses(table(spark, d, "documents"))
