@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spotweave.llm.common import table
 from spotweave.llm.license_scan import scan_licenses
+from spotweave.llm import source_mixing
 from spotweave.llm.simhash_dedup import as_hex, near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +34,8 @@ def _(spark, d):
 @query("op3_license_scans")
 def _(spark, d):
     return scan_licenses(table(spark, d, "documents"))
+
+
+@query("op5_source_mixing", source_mixing.SQL.format(documents="documents"))
+def _(spark, d):
+    return source_mixing.mix(table(spark, d, "documents").select("doc_id", "text", "source")).drop("_row")
