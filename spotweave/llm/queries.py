@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spotweave.llm.common import table
 from spotweave.llm.license_scan import scan_licenses
-from spotweave.llm import decontamination, source_mixing
+from spotweave.llm import decontamination, source_mixing, token_files
 from spotweave.llm.simhash_dedup import as_hex, near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,11 @@ def _(spark, d):
     return source_mixing.mix(table(spark, d, "documents").select("doc_id", "text", "source")).drop("_row")
 
 
+@query("op6_token_id_output")
+def _(spark, d):
+    return token_files.encoded(table(spark, d, "documents")).drop("ids")
+
+
 @query("op9_benchmark_decontamination", decontamination.SQL)
 def _(spark, d):
     return decontamination.contained_items(table(spark, d, "documents"), table(spark, d, "benchmark"))
