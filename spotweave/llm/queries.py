@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spotweave.llm.common import table
 from spotweave.llm.license_scan import scan_licenses
-from spotweave.llm import decontamination, source_mixing, token_files
+from spotweave.llm import decontamination, quality_crf, source_mixing, token_files
 from spotweave.llm.simhash_dedup import as_hex, near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_quality_rules")
+def _(spark, d):
+    docs = table(spark, d, "documents")
+    return quality_crf.assess(docs, quality_crf.train(docs, table(spark, d, "labels"))).drop("line_labels")
+
+
 @query("op2_simhash_near_dedup")
 def _(spark, d):
     found = near_duplicates(table(spark, d, "documents"))
