@@ -44,7 +44,7 @@ def _(spark, d):
 
 @query("op5_source_mixing", source_mixing.SQL.format(documents="documents"))
 def _(spark, d):
-    return source_mixing.mix(table(spark, d, "documents").select("doc_id", "text", "source")).drop("_row")
+    return source_mixing.mix(table(spark, d, "documents"))
 
 
 @query("op6_token_id_output")

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from spotweave.llm.common import WORD, packed, unpacked, written
+from spotweave.llm.common import WORD, packed, pick, unpacked, written
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
@@ -62,18 +62,22 @@ def targets(rows: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataF
     return s.select("source_key", "source_size", target.alias("target"))
 
 
-def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 0) -> DataFrame:
-    """Every input row as ``_row`` with size, source_size, target, epochs and taken (long words, repeats counted).
+def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 0,
+        carry: bool = False) -> DataFrame:
+    """Per input row doc_id, size, source_size, target, epochs and taken (long words, repeats counted).
+
+    ``carry`` adds the whole input row as ``_row``; without it no text is shuffled or written.
 
     A null text has no words and is never taken; a null source is a source of its own, the
     last. Repeated rows are documents of their own; rows of equal key stand by doc_id, size
-    and text. A source without words has target 0. An empty table gives no rows. All other
-    columns stay inside ``_row`` and can't clash.
+    and text. A source without words has target 0. An empty table gives no rows. Other
+    columns are ignored, or stay inside ``_row``, and can't clash.
     """
-    rows = keyed(packed(documents, doc_id="long", text="string", source="string"), seed).drop("text", "source")
+    wanted = {"doc_id": "long", "text": "string", "source": "string"}
     order = ["sort_key", "doc_id", "size", "tie"]
-    rows = written(rows, "mix")
-    goals = targets(rows, weights, max_epochs)
+    small = written(keyed(pick(documents, **wanted), seed).drop("text", "source"), "mix")
+    goals = targets(small, weights, max_epochs)
+    rows = keyed(packed(documents, **wanted), seed).drop("text", "source") if carry else small
     # The partition number is written with the rows, so every later reading sees the same one.
     dealt = written(rows.repartitionByRange("source_key", *order).withColumn("part", F.spark_partition_id()), "mix")
     sums = dealt.groupBy("part", "source_key").agg(F.sum("size").alias("words"))
@@ -87,7 +91,7 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
     out = out.withColumn("epochs", epochs)
     missing = budget - F.col("epochs") * F.col("source_size") - F.col("offset") - F.col("before")
     part = F.greatest(F.lit(0), F.least(F.col("size"), missing))
-    return out.select("_row", "doc_id", "size", "source_size", "target", "epochs",
+    return out.select(*["_row"] * carry, "doc_id", "size", "source_size", "target", "epochs",
                       (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"))
 
 
@@ -98,7 +102,7 @@ def mixed_documents(documents: DataFrame, **options) -> DataFrame:
     target by less than one document.
     """
     copies = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    held = mix(documents, **options).withColumn("_copies", copies).filter("_copies > 0")
+    held = mix(documents, carry=True, **options).withColumn("_copies", copies).filter("_copies > 0")
     return unpacked(held.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))), documents)
 
 
