@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spotweave.llm.common import table
 from spotweave.llm.license_scan import scan_licenses
-from spotweave.llm import decontamination, quality_crf, source_mixing, token_files, unit_dedup
+from spotweave.llm import decontamination, quality_crf, run_dedup, source_mixing, token_files, unit_dedup
 from spotweave.llm.simhash_dedup import as_hex, near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,8 @@ def _(spark, d):
 @query("op9_benchmark_decontamination", decontamination.SQL)
 def _(spark, d):
     return decontamination.contained_items(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query("op10_line_dedup", run_dedup.SQL)
+def _(spark, d):
+    return run_dedup.repeated_runs(table(spark, d, "documents"))
