@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spotweave.llm.common import table
 from spotweave.llm.license_scan import scan_licenses
-from spotweave.llm import decontamination, quality_crf, run_dedup, source_mixing, token_files, unit_dedup
+from spotweave.llm import decontamination, quality_crf, role_repair, run_dedup, source_mixing, token_files, unit_dedup
 from spotweave.llm.simhash_dedup import as_hex, near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,11 @@ def _(spark, d):
     return token_files.encoded(table(spark, d, "documents")).drop("ids")
 
 
+@query("op7_chat_formatting")
+def _(spark, d):
+    return role_repair.summary(role_repair.repair(table(spark, d, "conversations")))
+
+
 @query("op8_substring_dedup")
 def _(spark, d):
     return unit_dedup.repeats(table(spark, d, "documents"))
