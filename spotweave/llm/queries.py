@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spotweave.llm.common import table
 from spotweave.llm.license_scan import scan_licenses
-from spotweave.llm import decontamination, quality_crf, role_repair, run_dedup, source_mixing, token_files, unit_dedup
+from spotweave.llm import decontamination, masked_lm, quality_crf, role_repair, run_dedup, source_mixing, token_files, unit_dedup
 from spotweave.llm.simhash_dedup import as_hex, near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,12 @@ def _(spark, d):
     return scan_licenses(table(spark, d, "documents"))
 
 
+@query("op4_lm_scoring")
+def _(spark, d):
+    docs = table(spark, d, "documents")
+    return masked_lm.score(docs, masked_lm.train(docs))
+
+
 @query("op5_source_mixing", source_mixing.SQL.format(documents="documents"))
 def _(spark, d):
     return source_mixing.mix(table(spark, d, "documents"))
