@@ -55,7 +55,7 @@ def _(spark, d):
 
 @query("op6_token_id_output")
 def _(spark, d):
-    return token_files.encoded(table(spark, d, "documents")).drop("ids")
+    return token_files.encoded(table(spark, d, "documents"))
 
 
 @query("op7_chat_formatting")

@@ -12,7 +12,9 @@ lost tasks on any store.
 from __future__ import annotations
 
 import functools
+import gc
 import hashlib
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -30,6 +32,9 @@ MAGIC = "spotweave-ids-1"
 SHARD_BYTES, SHARD_DOCS = 256 << 10, 4096
 #: The dictionary's training sample: so many documents of at most so many characters, by smallest hash of the id.
 DICT_BYTES, DICT_DOCS, DICT_CHARS = 64 << 10, 400, 20_000
+#: Words, and words with what follows them up to a space, whose ids a worker remembers.
+MEMORY_WORDS, MEMORY_SEGMENTS = 500_000, 300_000
+_SIGNS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum())
 _ENCODE_BYTES, _PIECE = 256 << 10, 1 << 20
 SHARD_SCHEMA = ("magic string, dictionary string, width int, part int, seq int, first_id long, last_id long, n_ids long, "
                 "doc_ids array<long>, lengths array<long>, offsets array<long>, payload binary")
@@ -65,25 +70,119 @@ def pieces(text: str, limit: int = _PIECE) -> list[str]:
     return [*out, text[at:]]
 
 
+class Encoder:
+    """The tokenizer with a memory of words.
+
+    Byte-level BPE starts a new pre-token before every white space that follows something
+    else, and between a word and the signs after it; so a text in which no white space stands
+    before a space has the ids of its first word and of each " word" one after another. Words
+    not seen yet are encoded together, and told apart by the byte lengths of their tokens. Any other text, and any other kind of
+    tokenizer, is encoded as a whole. The memory is bounded and lives as long as the worker.
+    """
+
+    def __init__(self, path: str):
+        self.model = tokenizer(path)
+        self.words: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        spec = json.loads(self.model.to_str())
+        pre = spec.get("pre_tokenizer") or {}
+        self.by_word = (spec["model"]["type"] == "BPE" and not spec.get("normalizer") and pre.get("type") == "ByteLevel"
+                        and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+                        and not any(t["lstrip"] or t["rstrip"] or " " in t["content"] for t in spec.get("added_tokens", [])))
+        added = {t["id"]: len(t["content"].encode()) for t in spec.get("added_tokens", [])}
+        tokens = [self.model.id_to_token(i) or "" for i in range(self.model.get_vocab_size())]
+        self.lengths = np.array([added.get(i, len(t)) for i, t in enumerate(tokens)], np.int64)
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers, a batch of bounded size at a time."""
+        out, batch, size = [], [], 0
+        for k, t in enumerate(texts):
+            batch.append(pieces(t))
+            size += len(t)
+            if size >= _ENCODE_BYTES or k == len(texts) - 1:
+                found = iter(self.model.encode_batch_fast([p for b in batch for p in b], add_special_tokens=False))
+                out += [b"".join(np.array(next(found).ids, "<u4").tobytes() for _ in b) for b in batch]
+                batch, size = [], 0
+        return out
+
+    def learn(self, words: list[str]) -> None:
+        """Ids of " word" for words that end in no white space."""
+        at = 0
+        while at < len(words):
+            stop, size = at, 0
+            while stop < len(words) and size < _ENCODE_BYTES:
+                size += len(words[stop]) + 1
+                stop += 1
+            some = words[at:stop]
+            ids = np.array(self.model.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            bounds = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(w.encode()) + 1 for w in some])) + 1
+            data = ids.tobytes()
+            for w, a, b in zip(some, [0, *(4 * bounds[:-1]).tolist()], (4 * bounds).tolist()):
+                self.words[w] = data[a:b]
+            at = stop
+
+    def add_segments(self, found: set[str]) -> set[str]:
+        """Put the ids of each " segment" into ``known``; returns those that end in white space, which have none.
+
+        A word of letters with ASCII signs after it is looked up without them.
+        """
+        segments = list(found)
+        cores = [s.rstrip(_SIGNS) for s in segments]
+        plain = [c.isalpha() for c in cores]
+        odd = {s for s, ok in zip(segments, plain) if not ok}
+        unsafe = {s for s in odd if not s or s[-1].isspace()}
+        odd -= unsafe
+        new = ({c for c, ok in zip(cores, plain) if ok} | odd) - self.words.keys()
+        self.learn(sorted(new))
+        words, signs = self.words, self.signs
+        tails = {s[len(c):] for s, c, ok in zip(segments, cores, plain) if ok} - signs.keys()
+        signs.update(zip(tails, self.whole(list(tails))))
+        self.known.update((s, words[c] + signs[s[len(c):]]) for s, c, ok in zip(segments, cores, plain) if ok)
+        self.known.update((s, words[s]) for s in odd)
+        if len(words) > MEMORY_WORDS:
+            for w in new:
+                del words[w]
+        if len(signs) > MEMORY_WORDS // 10:
+            signs.clear()
+        return unsafe
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return self.whole(texts)
+        parts = [t.split(" ") for t in texts]
+        found: set[str] = set()
+        for p in parts:
+            found.update(p[1:])
+        found -= self.known.keys()
+        unsafe = self.add_segments(found)
+        joined = [(not p[0] or not p[0][-1].isspace()) and (p[0] or len(p) == 1) and (not unsafe or unsafe.isdisjoint(p[1:])) for p in parts]
+        heads = iter(self.whole([p[0] if ok else t for p, ok, t in zip(parts, joined, texts)]))
+        known = self.known
+        out = [b"".join([next(heads), *[known[x] for x in p[1:]]]) if ok else next(heads) for p, ok in zip(parts, joined)]
+        if len(known) > MEMORY_SEGMENTS:
+            for x in found - unsafe:
+                del known[x]
+        return out
+
+
+@functools.cache
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
+
+
 def encode(path: str, texts: list[str]) -> Iterator[np.ndarray]:
-    """Ids of each whole text, the end id last; a batch of bounded size at a time."""
-    model, batch, size = tokenizer(path), [], 0
-
-    def flush() -> Iterator[np.ndarray]:
-        parts = [p for t in batch for p in pieces(t)]
-        found = iter(model.encode_batch_fast(parts, add_special_tokens=False))
-        for t in batch:
-            ids = [i for _ in pieces(t) for i in next(found).ids]
-            yield np.array([*ids, END_ID], "<u4")
-
-    for t in texts:
-        batch.append(t)
-        size += len(t)
-        if size >= _ENCODE_BYTES:
-            yield from flush()
-            batch, size = [], 0
-    if batch:
-        yield from flush()
+    """Ids of each whole text, the end id last."""
+    end = np.array([END_ID], "<u4").tobytes()
+    collecting = gc.isenabled()
+    gc.disable()  # strings and bytes hold no cycles; scans for some cost more than the encoding
+    try:
+        found = encoder(path).encode(texts)
+    finally:
+        if collecting:
+            gc.enable()
+    for ids in found:
+        yield np.frombuffer(ids + end, "<u4")
 
 
 def train_dictionary(documents: DataFrame, path: str, width: int) -> bytes:
@@ -176,8 +275,8 @@ def _decoder(data: bytes, digest: str):
     return decode
 
 
-def read_ids(spark: SparkSession, folder: str) -> DataFrame:
-    """Per document, decoded from the files: doc_id, start, n_tokens, ids_crc32, ids."""
+def read_ids(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
+    """Per document, decoded from the files: doc_id, start, n_tokens, ids_crc32 and, if wanted, ids."""
     data, digest = open_dictionary(spark, folder)
     shared = spark.sparkContext.broadcast(data)
     shards = spark.read.schema(SHARD_SCHEMA).parquet(f"{folder}/shards")
@@ -191,16 +290,16 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
                     ids = decode(row, i)
                     if len(ids) != row["lengths"][i]:
                         raise ValueError("SHARD_DAMAGED")
-                    out.append((row["part"], row["seq"], doc_id, local, len(ids), zlib.crc32(ids.tobytes()), ids))
+                    out.append((row["part"], row["seq"], doc_id, local, len(ids), zlib.crc32(ids), *[ids] * with_ids))
                     local += len(ids)
                 columns = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()),
-                     *[pa.array(c, pa.int64()) for c in columns[2:6]], pa.array(list(columns[6]), pa.list_(pa.int64()))],
-                    ["part", "seq", "doc_id", "local", "n_tokens", "ids_crc32", "ids"])
+                    [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), *[pa.array(c, pa.int64()) for c in columns[2:6]],
+                     *[pa.array(list(c), pa.list_(pa.int64())) for c in columns[6:]]],
+                    ["part", "seq", "doc_id", "local", "n_tokens", "ids_crc32", *["ids"] * with_ids])
 
     small_batches(spark)
-    rows = shards.mapInArrow(run, "part int, seq int, doc_id long, local long, n_tokens long, ids_crc32 long, ids array<long>")
+    rows = shards.mapInArrow(run, "part int, seq int, doc_id long, local long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids)
     # Starts: sums over shards within a part, and over parts. Only index columns are read for them.
     index = shards.select("part", "seq", "n_ids")
     earlier = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
@@ -210,7 +309,7 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     starts = index.withColumn("shard_start", F.coalesce(F.sum("n_ids").over(within), F.lit(0))).join(parts, "part").select(
         "part", "seq", (F.col("part_start") + F.col("shard_start")).alias("shard_start"))
     return rows.join(starts, ["part", "seq"]).select(
-        "doc_id", (F.col("shard_start") + F.col("local")).alias("start"), "n_tokens", "ids_crc32", "ids")
+        "doc_id", (F.col("shard_start") + F.col("local")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids)
 
 
 def read_document(spark: SparkSession, folder: str, doc_id: int) -> list[list[int]]:
@@ -222,6 +321,6 @@ def read_document(spark: SparkSession, folder: str, doc_id: int) -> list[list[in
 
 
 def encoded(documents: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
-    """Write the documents to a new folder below the shared one and read them back."""
+    """Write the documents to a new folder below the shared one and read starts, lengths and checksums back from it."""
     spark = documents.sparkSession
-    return read_ids(spark, write_ids(documents, scratch(spark, "ids"), tokenizer_path))
+    return read_ids(spark, write_ids(documents, scratch(spark, "ids"), tokenizer_path), with_ids=False)

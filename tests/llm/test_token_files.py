@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from spotweave.llm import token_files as m
@@ -58,6 +59,27 @@ def test_long_texts_are_cut_where_no_token_joins(model):
     assert ids == model.encode(text, add_special_tokens=False).ids
 
 
+@given(st.lists(st.text(alphabet=" \n\t\u00a0\u3000ab'sé1.!<|endoftext|>\x1f", max_size=25), max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_words_from_memory_give_the_ids_of_the_whole_text(texts):
+    e = m.encoder(m.default_tokenizer())
+    assert e.by_word
+    texts = [*texts, "plain words and more words", "x", "", " lead", "tail ", "<|endoftext|> a <|endoftext|>"]
+    want = [np.array(e.model.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert e.encode(texts) == want
+
+
+def test_the_memory_is_bounded(monkeypatch, model):
+    monkeypatch.setattr(m, "MEMORY_WORDS", 50)
+    monkeypatch.setattr(m, "MEMORY_SEGMENTS", 40)
+    monkeypatch.setattr(m, "_ENCODE_BYTES", 30)
+    e = m.Encoder(m.default_tokenizer())
+    for i in range(20):
+        text = " ".join(f"word{i} other{j}" for j in range(30))
+        assert e.encode([text])[0] == np.array(model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert len(e.words) <= 50 and len(e.known) <= 40
+
+
 def test_odd_rows(spark, model, tmp_path):
     rows = [(1, None), (2, ""), (None, "n"), (4, "same"), (4, "same"), (4, "other"), (5, "long <|endoftext|> " * 30_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as TEXT", "2 as ids")
