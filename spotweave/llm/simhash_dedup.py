@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spotweave.llm.common import map_batches, pick, raw, small_batches, written
+from spotweave.llm.common import map_batches, packed, pick, raw, small_batches, unpacked, written
 from spotweave.operators.components import connected_components
 
 SEED, BITS, SHINGLE = 42, 64, 3
@@ -48,13 +48,15 @@ def fingerprint(text: bytes) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(documents: DataFrame) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every row as a signed long."""
+def fingerprints(rows: DataFrame) -> DataFrame:
+    """The rows with ``fp``, the fingerprint of ``text`` as a signed long, in place of the text."""
+    kept = [c for c in rows.columns if c != "text"]
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         fp = np.array([fingerprint(t) for t in raw(batch, "text")], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(fp)], [*kept, "fp"])
 
-    return map_batches(pick(documents, doc_id="long", text="string"), run, "doc_id long, fp long")
+    return map_batches(rows, run, ", ".join(f"{n} {t}" for n, t in rows.dtypes if n != "text") + ", fp long")
 
 
 class BKTree:
@@ -168,6 +170,22 @@ def shard_links(rows: DataFrame, radius: int) -> DataFrame:
     return dealt.mapInArrow(run, "src long, dst long").distinct()
 
 
+def component_names(prints: DataFrame, radius: int, blocks: int | None, tile_rows: int) -> DataFrame:
+    """(fp, component, component_id) of every fingerprint of (doc_id, fp): the component and its smallest doc_id."""
+    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash")
+    if blocks is None:
+        n = distinct.count()
+        blocks = radius + 1 + (n > 1 << 24) + (n > 1 << 30)
+    links = written(shard_links(shard_rows(distinct.select("fp"), radius, blocks, tile_rows), radius), "simhash")
+    if links.isEmpty():
+        return distinct.select("fp", F.col("fp").alias("component"), F.col("first_id").alias("component_id"))
+    ends = links.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    groups = connected_components(ends, links).select(F.col("id").alias("fp"), "component")
+    placed = distinct.join(groups, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    names = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    return placed.join(names, "component").select("fp", "component", "component_id")
+
+
 def near_duplicates(documents: DataFrame, radius: int = 3, blocks: int | None = None,
                     tile_rows: int = TILE_ROWS) -> DataFrame:
     """(doc_id, fp, component_id): component_id is the smallest doc_id reachable over links.
@@ -177,22 +195,25 @@ def near_duplicates(documents: DataFrame, radius: int = 3, blocks: int | None =
     id is in it. Other columns are ignored; an empty table gives no rows. ``blocks`` only sets
     the shards' size, never the result: radius + 1 up to 2**24 different fingerprints, then more.
     """
-    held = written(fingerprints(documents), "simhash")
-    distinct = written(held.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash")
-    if blocks is None:
-        n = distinct.count()
-        blocks = radius + 1 + (n > 1 << 24) + (n > 1 << 30)
-    links = written(shard_links(shard_rows(distinct.select("fp"), radius, blocks, tile_rows), radius), "simhash")
-    if links.isEmpty():
-        named = distinct.select("fp", F.col("first_id").alias("component_id"))
-    else:
-        ends = links.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-        groups = connected_components(ends, links).select(F.col("id").alias("fp"), "component")
-        placed = distinct.join(groups, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-        names = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
-        named = placed.join(names, "component").select("fp", "component_id")
+    held = written(fingerprints(pick(documents, doc_id="long", text="string")), "simhash")
+    named = component_names(held, radius, blocks, tile_rows)
     return held.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def deduplicated(documents: DataFrame, radius: int = 3, blocks: int | None = None, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """One document row of each component, that of the smallest doc_id (null last); all columns kept.
+
+    Of repeated rows one stays. Odd cases as in ``near_duplicates``.
+    """
+    rows = packed(documents, doc_id="long", text="string").withColumn("row", F.monotonically_increasing_id())
+    held = written(rows, "simhash")  # the row numbers are read back, never made twice
+    prints = written(fingerprints(held.select("row", "doc_id", "text")), "simhash")
+    named = component_names(prints, radius, blocks, tile_rows)
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
+    best = prints.groupBy("fp").agg(F.min(rank).alias("best")).join(named, "fp").groupBy("component").agg(
+        F.min("best").alias("best")).select(F.col("best.row").alias("row"))
+    return unpacked(held.join(best, "row", "left_semi"), documents)
+
+
 def as_hex(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")

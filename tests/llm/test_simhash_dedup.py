@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from spotweave.llm.simhash_dedup import BKTree, as_hex, fingerprint, near_duplicates
+from spotweave.llm.simhash_dedup import BKTree, as_hex, deduplicated, fingerprint, near_duplicates
 
 
 def brute_print(text):
@@ -59,7 +59,8 @@ def test_hot_shards_in_tiles_match_all_pairs(spark, monkeypatch, blocks):
     signed = [(d, int(np.array([x], np.uint64).view(np.int64)[0])) for d, x in prints]
     df = spark.createDataFrame(signed, "doc_id long, fp long")
     monkeypatch.setattr(m, "fingerprints", lambda _: df)
-    assert collected(m.near_duplicates(None, blocks=blocks, tile_rows=30)) == brute(prints)
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert collected(m.near_duplicates(docs, blocks=blocks, tile_rows=30)) == brute(prints)
 
 
 def test_tree_finds_all_within_the_radius_and_visits_fewer():
@@ -87,3 +88,6 @@ def test_odd_rows(spark):
     got = sorted(((r["doc_id"] or -1), r["component_id"]) for r in near_duplicates(df).collect() if r["component_id"] is not None)
     assert got == [(-1, 9), (3, 3), (7, 3), (9, 9), (9, 9)]
     assert near_duplicates(df.limit(0)).collect() == []
+    left = deduplicated(df)
+    assert left.columns == df.columns and sorted(str(r[0]) for r in left.collect()) == ["3", "9", "None"]
+    assert deduplicated(df.limit(0)).collect() == []
