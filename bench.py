@@ -37,15 +37,18 @@ def main() -> None:
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
+    from spotweave.functions.runtime import durable_scope, own_checkpoint_dir
     from spotweave.plans import catalog
 
+    own_checkpoint_dir(spark)
     seconds: dict[str, float] = {}
     # One untimed query starts the JVM's compilers and the file cache.
     catalog.QUERIES["a01_spot_qc"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     for name in names:
         start = time.time()
-        catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.time() - start, 3)
+        with durable_scope(spark):
+            catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            seconds[name] = round(time.time() - start, 3)
     print(json.dumps({"metric": "headline_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
                       "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/"))}))
     spark.stop()

@@ -1,8 +1,7 @@
 """Ranks, running sums and exact quantiles that survive one very large group.
 
-Every function takes the plain window / aggregate route while the largest group
-is small, and otherwise range-partitions the rows so that a hot group is spread
-over many tasks; both routes give the same numbers.
+Rows are range-partitioned along the order, so a group of any size is spread over many
+tasks; results are local ones plus one offset per partition and group.
 """
 
 from __future__ import annotations
@@ -11,17 +10,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from spotweave.functions import runtime
-from spotweave.functions.runtime import durable, largest_group, ordered_partitions
+from spotweave.functions.runtime import durable, numbered_partitions
 
 
-def _range_running_sum(df: DataFrame, by: list[str], order: Sequence[Column],
-                       value: Column, out: str) -> DataFrame:
-    """Running sum over range partitions: local sums plus per-partition offsets."""
+def running_sum(df: DataFrame, by: list[str], order: Sequence[Column], value: Column, out: str) -> DataFrame:
+    """Add the running sum of ``value`` within ``by`` along a total ``order``."""
     keys = [F.col(c) for c in by] + list(order)
-    tagged = ordered_partitions(
-        df.withColumn("_rs_value", value).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    ).withColumn("_rs_part", F.spark_partition_id())
+    tagged = numbered_partitions(df.withColumn("_rs_value", value).repartitionByRange(*keys), "_rs_part")
     # One row per (partition, group): at most partitions + groups rows.
     totals = tagged.groupBy("_rs_part", *by).agg(F.sum("_rs_value").alias("_rs_total"))
     before = W.partitionBy(*by).orderBy("_rs_part").rowsBetween(W.unboundedPreceding, -1)
@@ -37,36 +32,16 @@ def _range_running_sum(df: DataFrame, by: list[str], order: Sequence[Column],
     )
 
 
-def running_sum(df: DataFrame, by: list[str], order: Sequence[Column], value: Column,
-                out: str, row_limit: int | None = None) -> DataFrame:
-    """Add the running sum of ``value`` within ``by`` along a total ``order``."""
-    limit = runtime.GROUP_ROW_LIMIT if row_limit is None else row_limit
-    if largest_group(df, by) <= limit:
-        frame = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        return df.withColumn(out, F.sum(value).over(frame))
-    return _range_running_sum(df, by, order, value, out)
-
-
-def row_rank(df: DataFrame, by: list[str], order: Sequence[Column], out: str,
-             row_limit: int | None = None, hold: bool = False) -> DataFrame:
-    """``row_number`` along a total order (1-based long).
-
-    ``hold`` materialises an expensive input once, for the size check and the rank.
-    """
-    limit = runtime.GROUP_ROW_LIMIT if row_limit is None else row_limit
-    df = durable(df) if hold else df
-    if largest_group(df, by) <= limit:
-        ranked = df.withColumn(out, F.row_number().over(W.partitionBy(*by).orderBy(*order)))
-        return ranked.withColumn(out, F.col(out).cast("long"))
-    return _range_running_sum(df, by, order, F.lit(1).cast("long"), out)
+def row_rank(df: DataFrame, by: list[str], order: Sequence[Column], out: str) -> DataFrame:
+    """``row_number`` along a total order (1-based long)."""
+    return running_sum(df, by, order, F.lit(1).cast("long"), out)
 
 
-def average_rank(df: DataFrame, by: list[str], value: str, out: str,
-                 row_limit: int | None = None) -> DataFrame:
+def average_rank(df: DataFrame, by: list[str], value: str, out: str) -> DataFrame:
     """Ties share their mean rank. Ties are counted before any ordering."""
     counts = durable(df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(
         F.count(F.lit(1)).alias("_ar_n")))
-    ranks = running_sum(counts, by, [F.col(value).asc()], F.col("_ar_n"), "_ar_cum", row_limit)
+    ranks = running_sum(counts, by, [F.col(value).asc()], F.col("_ar_n"), "_ar_cum")
     ranks = ranks.select(
         *by, value, (F.col("_ar_cum") - (F.col("_ar_n") - 1) / F.lit(2.0)).alias(out))
     return df.join(ranks, [*by, value], "left")
@@ -77,31 +52,18 @@ def value_counts(df: DataFrame, by: list[str], value: str) -> DataFrame:
     return durable(df.groupBy(*by, F.col(value).alias("_q_value")).agg(F.count(F.lit(1)).alias("_q_n")))
 
 
-def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, float],
-                    row_limit: int | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Linear-interpolated quantiles per group, one output column per name."""
-    return quantiles_of_counts(value_counts(df, by, value), by, probs, row_limit)
+    return quantiles_of_counts(value_counts(df, by, value), by, probs)
 
 
-def quantiles_of_counts(counts: DataFrame, by: list[str], probs: dict[str, float],
-                        row_limit: int | None = None) -> DataFrame:
-    """Quantiles from held value counts.
-
-    A value shared by a third of all rows is one row here. Groups with too many
-    distinct values for one in-memory map are ordered by range instead.
-    """
-    limit = runtime.GROUP_ROW_LIMIT if row_limit is None else row_limit
+def quantiles_of_counts(counts: DataFrame, by: list[str], probs: dict[str, float]) -> DataFrame:
+    """Quantiles from held value counts: a value shared by a third of all rows is one row here."""
     counts = counts.filter("_q_value is not null")
-    if largest_group(counts, by) <= limit:
-        names = list(probs)
-        array = F.percentile(F.col("_q_value").cast("double"),
-                             F.array(*[F.lit(float(probs[n])) for n in names]), F.col("_q_n"))
-        grouped = (counts.groupBy(*by) if by else counts.groupBy()).agg(array.alias("_q"))
-        return grouped.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     key = by or ["_q_all"]
     keyed = counts if by else counts.withColumn("_q_all", F.lit(0))
     totals = keyed.groupBy(*key).agg(F.sum("_q_n").alias("_q_total"))
-    cum = _range_running_sum(keyed, key, [F.col("_q_value").asc()], F.col("_q_n"), "_q_cum")
+    cum = running_sum(keyed, key, [F.col("_q_value").asc()], F.col("_q_n"), "_q_cum")
     cum = cum.join(totals, key)
     aggs = []
     for name, p in probs.items():
@@ -133,21 +95,14 @@ def benjamini_hochberg(df: DataFrame, by: list[str], p: str, key: list[str], q:
     totals = counts.groupBy(*by).agg(F.sum("_q_n").alias("_bh_n"))
     ranked = ranked.join(totals, by).withColumn(
         "_bh_raw", F.col("_q_value") * F.col("_bh_n") / F.col("_bh_rank"))
-    tail = W.partitionBy(*by).orderBy(F.col("_q_value").desc()).rowsBetween(
-        W.unboundedPreceding, 0)
-    if largest_group(counts, by) <= runtime.GROUP_ROW_LIMIT:
-        ranked = ranked.withColumn(q, F.least(F.min("_bh_raw").over(tail), F.lit(1.0)))
-    else:
-        ranked = _range_running_min(ranked, by, F.col("_q_value").desc(), "_bh_raw", q)
-        ranked = ranked.withColumn(q, F.least(F.col(q), F.lit(1.0)))
+    ranked = _running_min(ranked, by, F.col("_q_value").desc(), "_bh_raw", q)
+    ranked = ranked.withColumn(q, F.least(F.col(q), F.lit(1.0)))
     return df.join(ranked.select(*by, F.col("_q_value").alias(p), q), [*by, p], "left")
 
 
-def _range_running_min(df: DataFrame, by: list[str], order: Column, value: str,
-                       out: str) -> DataFrame:
+def _running_min(df: DataFrame, by: list[str], order: Column, value: str, out: str) -> DataFrame:
     keys = [F.col(c) for c in by] + [order]
-    tagged = ordered_partitions(df.repartitionByRange(*keys).sortWithinPartitions(*keys)).withColumn(
-        "_rm_part", F.spark_partition_id())
+    tagged = numbered_partitions(df.repartitionByRange(*keys), "_rm_part")
     mins = tagged.groupBy("_rm_part", *by).agg(F.min(value).alias("_rm_min"))
     before = W.partitionBy(*by).orderBy("_rm_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = mins.withColumn("_rm_before", F.min("_rm_min").over(before)).drop("_rm_min")
@@ -160,21 +115,15 @@ def _range_running_min(df: DataFrame, by: list[str], order: Column, value: str,
     )
 
 
-def previous_row(df: DataFrame, by: list[str], order: list[str], columns: dict[str, str],
-                 row_limit: int | None = None) -> DataFrame:
+def previous_row(df: DataFrame, by: list[str], order: list[str], columns: dict[str, str]) -> DataFrame:
     """Values of the previous row of the group along ascending ``order`` columns.
 
-    ``columns`` maps source to output names. A large group is range-partitioned;
-    only the last row of every partition crosses to the next one.
+    ``columns`` maps source to output names. Rows are range-partitioned; only the last
+    row of every partition crosses to the next one.
     """
-    limit = runtime.GROUP_ROW_LIMIT if row_limit is None else row_limit
     names = list(columns)
-    if largest_group(df, by) <= limit:
-        w = W.partitionBy(*by).orderBy(*order)
-        return df.select("*", *[F.lag(c).over(w).alias(columns[c]) for c in names])
     keys = [F.col(c) for c in (*by, *order)]
-    tagged = ordered_partitions(df.repartitionByRange(*keys).sortWithinPartitions(*keys)).withColumn(
-        "_pr_part", F.spark_partition_id())
+    tagged = numbered_partitions(df.repartitionByRange(*keys), "_pr_part")
     lasts = tagged.groupBy("_pr_part", *by).agg(
         F.max_by(F.struct(*names), F.struct(*order)).alias("_pr_last"))
     lasts = lasts.withColumn("_pr_before", F.lag("_pr_last").over(

@@ -1,35 +1,54 @@
-"""Session helpers: durable intermediate tables and row bounds."""
+"""Session helpers: durable intermediate tables below the shared checkpoint folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# A window or an in-memory value map may hold at most this many rows of one
-# group; larger groups take the range-partitioned route in ``ordering``.
-GROUP_ROW_LIMIT = 1_000_000
+# Tables written inside an open ``durable_scope``.
+_SCOPES: list[list[str]] = []
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; only a local run may make one."""
+    """Use the shared folder that spark.checkpoint.dir names; without one durable steps can't run."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    else:
+    if not shared:
         raise RuntimeError("CHECKPOINT_DIR_UNSET: set spark.checkpoint.dir to a shared folder")
+    sc.setCheckpointDir(shared)
+
+
+def own_checkpoint_dir(spark: SparkSession) -> None:
+    """For entry points, tests and the bench: a local run that names no shared folder gets one of its own."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-shared-"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
     ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def durable_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes the durable tables made inside when it ends; the result must be written by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -44,17 +63,9 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ordered_partitions(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint that keeps partition numbers, for range-partitioned rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def largest_group(df: DataFrame, by: list[str]) -> int:
-    """Rows in the biggest group: one partially aggregated pass, one number back."""
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")) if by else df.agg(
-        F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+def numbered_partitions(df: DataFrame, out: str) -> DataFrame:
+    """The rows with their partition's number, written with them so that every reading sees the same one."""
+    return durable(df.withColumn(out, F.spark_partition_id()))
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

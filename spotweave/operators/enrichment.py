@@ -50,7 +50,7 @@ def prepare_ranking(effects: DataFrame, min_counts: float = 10, min_cells: int =
     ok = gated(effects, min_counts, min_cells).filter("_sym and _eff and _cnt and _cel")
     best = dedupe_symbols(ok).withColumnRenamed("effect_log2_cpm_plus1_difference", "original_effect")
     return row_rank(best, RANKING, [F.col("original_effect").desc(), F.col("gene_symbol").asc(),
-                                    F.col("gene_id").asc()], "rank", hold=True)
+                                    F.col("gene_id").asc()], "rank")
 
 
 def ranking_audit(effects: DataFrame, ranking: DataFrame, gene_sets: DataFrame, min_counts: float = 10,

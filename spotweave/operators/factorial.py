@@ -133,6 +133,6 @@ def rank_effects(effects: DataFrame, value: str = "effect_log2_cpm_plus1_differe
     """Signed and absolute rank per region and contrast; ties by gene id, NULLs last."""
     by = ["roi_label_canonical", "contrast_id"]
     t = row_rank(effects, by, [F.col(value).desc_nulls_last(), F.col("gene_id").asc()],
-                 "effect_rank_signed_descending", hold=True)
+                 "effect_rank_signed_descending")
     return row_rank(t, by, [F.abs(F.col(value)).desc_nulls_last(), F.col("gene_id").asc()],
                     "effect_rank_absolute_descending")

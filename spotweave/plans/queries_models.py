@@ -356,19 +356,45 @@ def _(spark, d):
 @query("w04_screen_candidates", MORAN_SQL + """,
 r as (select *, row_number() over (partition by sample_id, roi order by round(moran, 9) desc, gene_id) as rm,
   row_number() over (partition by sample_id, roi order by round(geary, 9), gene_id) as rg from mg)
-select sample_id, roi, gene_id, case when rm <= 5 then rm end as candidate_rank_moran, case when rg <= 5 then rg end as
-  candidate_rank_geary, concat_ws(';', case when rm <= 5 then 'moran_top5' end, case when rg <= 5 then 'geary_top5' end) as
-  selection_reasons from r where rm <= 5 or rg <= 5
+select sample_id, roi, gene_id, case when rm <= 50 then rm end as candidate_rank_moran, case when rg <= 50 then rg end as
+  candidate_rank_geary, concat_ws(';', case when rm <= 50 then 'moran_top50' end, case when rg <= 50 then 'geary_top50' end) as
+  selection_reasons from r where rm <= 50 or rg <= 50
 """)
 def _(spark, d):
-    return ac.screen_candidates(region_effects(spark, d)[0], 5)
+    return ac.screen_candidates(region_effects(spark, d)[0])
 
 
-@query("m20_permutation_pvalues")
+@query("m20_permutation_pvalues", MORAN_SQL + """,
+r as (select *, row_number() over (partition by sample_id, roi order by round(moran, 9) desc, gene_id) as rm,
+  row_number() over (partition by sample_id, roi order by round(geary, 9), gene_id) as rg from mg),
+cand as materialized (select sample_id, roi, gene_id from r where rm <= 50 or rg <= 50),
+spot as materialized (select sample_id, roi, id, row_number() over (partition by sample_id, roi order by id) as place,
+  coalesce((select sum(w) from w where src = id), 0) as r, coalesce((select sum(w) from w where dst = id), 0) as s from kept),
+perm as materialized (select sample_id, roi, id, p, row_number() over (partition by sample_id, roi, p order by
+  case when p > 0 then md5('1729:' || p || ':' || id) end, id) as place from spot, range(0, 200) t(p)),
+val as materialized (select c.sample_id, c.roi, c.gene_id, s.place, c.y from cen c join cand using (sample_id, roi, gene_id)
+  join spot s on s.id = c.id),
+own as (select v.sample_id, v.roi, v.gene_id, perm.p, sum((s.r + s.s) * y * y) as yyrs from perm join spot s using (id)
+  join val v on v.sample_id = perm.sample_id and v.roi = perm.roi and v.place = perm.place group by all),
+step as materialized (select a.sample_id, a.roi, a.p, a.place as i, b.place as j, w from w join perm a on a.id = w.src
+  join perm b on b.id = w.dst and b.p = a.p),
+crs as (select x.sample_id, x.roi, x.gene_id, t.p, sum(w * x.y * z.y) as crs from step t
+  join val x on x.sample_id = t.sample_id and x.roi = t.roi and x.place = t.i
+  join val z on z.sample_id = x.sample_id and z.roi = x.roi and z.gene_id = x.gene_id and z.place = t.j group by all),
+sc as (select sample_id, roi, sum(r) as sw from spot group by all),
+st as materialized (select sample_id, roi, gene_id, p, round(n / sw * coalesce(crs, 0) / d, 9) as m,
+  round((n - 1) / (2 * sw) * (yyrs - 2 * coalesce(crs, 0)) / d, 9) as g
+  from own left join crs using (sample_id, roi, gene_id, p) join tot using (sample_id, roi, gene_id) join sc using (sample_id, roi))
+select sample_id, roi, gene_id, o.m as observed_moran, o.g as observed_geary,
+  (1 + count(*) filter (where st.m >= o.m)) / 200.0::double as moran_p_permutation_one_sided,
+  (1 + count(*) filter (where st.g <= o.g)) / 200.0::double as geary_p_permutation_one_sided
+from st join (select * from st where p = 0) o using (sample_id, roi, gene_id) where st.p > 0 group by sample_id, roi, gene_id, o.m, o.g
+""")
 def _(spark, d):
     eff, values, nodes, kept = region_effects(spark, d)
-    cand = durable(ac.screen_candidates(eff, 5))
-    return ac.permutation_pvalues(cand, values, nodes, kept, 199, 1729)
+    cand = durable(ac.screen_candidates(eff))
+    return ac.permutation_pvalues(cand, values, nodes, kept).select(
+        "sample_id", "roi", "gene_id", "observed_moran", "observed_geary", "moran_p_permutation_one_sided", "geary_p_permutation_one_sided")
 
 
 # --- associations -----------------------------------------------------------

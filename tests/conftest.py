@@ -9,10 +9,13 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
+
+    from spotweave.functions.runtime import own_checkpoint_dir
     s = (SparkSession.builder.master("local[8]").appName("tests").config("spark.driver.memory", "6g")
          .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
+    own_checkpoint_dir(s)
     yield s
     s.stop()
 
