@@ -245,11 +245,18 @@ def step_id(path: Column) -> Column:
     return F.when(generic, F.concat(parent, F.lit("_"), stem)).otherwise(stem)
 
 
-def natural_key(text: Column, width: int = 20) -> Column:
-    """Sort key in which runs of digits compare as numbers."""
+def natural_key(text: Column) -> Column:
+    """Sort key in which runs of digits of any length compare as numbers.
+
+    A run without leading zeros is preceded by its length, so a longer one is larger; "0" before
+    it keeps digits before letters.
+    """
     runs = F.regexp_extract_all(F.lower(text), F.lit(r"(\d+|\D+)"), 1)
-    return F.array_join(
-        F.transform(runs, lambda r: F.when(r.rlike(r"^\d"), F.lpad(r, width, "0")).otherwise(r)), "")
+    def number(r: Column) -> Column:
+        digits = F.regexp_replace(r, r"^0+(?=\d)", "")
+        return F.concat(F.lit("0"), F.lpad(F.length(digits).cast("string"), 10, "0"), digits)
+
+    return F.array_join(F.transform(runs, lambda r: F.when(r.rlike(r"^\d"), number(r)).otherwise(r)), "")
 
 
 def sample_from_path(path: Column) -> Column:
@@ -279,16 +286,35 @@ def difference_class(current: Column, reference: Column) -> Column:
 
 
 def resolution_token(resolution: Column) -> Column:
-    """0.6 -> 0p6."""
-    text = F.regexp_replace(F.format_string("%.6f", resolution.cast("double")), r"\.?0+$", "")
-    return F.translate(text, ".", "p")
+    """Six significant digits, "." as p and "-" as m: 0.6 -> 0p6, -0.5 -> m0p5, 1e-7 -> 1em07."""
+    x = resolution.cast("double")
+    science = F.format_string("%.5e", x)
+    power = F.regexp_extract(science, r"e([+-]\d+)$", 1).cast("int")
+    digits = F.regexp_replace(F.regexp_extract(science, r"^([^e]*)e", 1), r"\.?0+$", "")
+    scientific = F.concat(digits, F.lit("e"), F.regexp_extract(science, r"e([+-]\d+)$", 1))
+    plain = F.lit(None).cast("string")
+    for p in range(-4, 6):
+        fixed = F.format_string(f"%.{5 - p}f", x)
+        plain = F.when(power == p, F.regexp_replace(fixed, r"\.0*$|(\.\d*?)0+$", "$1") if p < 5 else fixed).otherwise(plain)
+    text = F.when(x == 0, "0").when(power.between(-4, 5), plain).otherwise(scientific)
+    return F.translate(text, ".-", "pm")
 
 
 def glob_to_regex(glob: str) -> str:
-    """Fnmatch pattern as a full-match regular expression."""
-    out = []
-    for ch in glob:
-        out.append(".*" if ch == "*" else "." if ch == "?" else re.escape(ch))
+    """Glob pattern, with ``[...]`` and ``[!...]`` classes, as a full-match regular expression."""
+    out, i = [], 0
+    while i < len(glob):
+        ch = glob[i]
+        # A class may start with its own closing bracket; without an end, "[" is itself.
+        start = i + 1 + (glob[i + 1:i + 2] == "!")
+        end = glob.find("]", start + 1) if ch == "[" else -1
+        if end > 0:
+            body = re.sub(r"([\\\[\]^&~|])", r"\\\1", glob[start:end])
+            out.append(f"[{'^' if start == i + 2 else ''}{body}]")
+            i = end
+        else:
+            out.append(".*" if ch == "*" else "." if ch == "?" else re.escape(ch))
+        i += 1
     return "^" + "".join(out) + "$"
 
 

@@ -213,11 +213,11 @@ FORBIDDEN_TEXT = (
 )
 
 
-def forbidden_text(lines: DataFrame, values: Iterable[str] = (), limit: int | None = 200
+def forbidden_text(lines: DataFrame, values: Iterable[str] = (), limit: int | None = None
                    ) -> DataFrame:
     """Line-level hits of local paths and forbidden literals.
 
-    ``lines`` has path, line_number, line. ``limit`` is the report size.
+    ``lines`` has path, line_number, line. ``limit`` cuts a report; all hits by default.
     """
     hits = [F.when(F.col("line").rlike(p), F.lit(name)) for name, p in FORBIDDEN_TEXT]
     hits += [F.when(F.col("line").contains(v), F.lit(f"forbidden value '{v}'")) for v in values]

@@ -204,10 +204,5 @@ def confounding_audit(spots: DataFrame) -> DataFrame:
 
 
 def integration_eligibility(samples: DataFrame) -> str:
-    """Not eligible without a complete batch of two or more levels that is not the sample itself."""
-    from spotweave.operators.contracts import one_to_one
-
-    batch = coded_column(samples, BATCH_COLUMNS)
-    if batch is None or samples.select(batch).distinct().limit(2).count() < 2:
-        return "not_eligible"
-    return "not_eligible" if one_to_one(samples, "sample_id", batch).first()[0] else "not_requested"
+    """Not eligible without a complete batch column. Levels and aliases are A26's matter."""
+    return "not_eligible" if coded_column(samples, BATCH_COLUMNS) is None else "not_requested"

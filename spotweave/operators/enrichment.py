@@ -132,36 +132,22 @@ def leading_edge(hits: DataFrame, scores: DataFrame, by: list[str]) -> DataFrame
         F.array_join(F.transform(F.array_sort(led), lambda s: s["gene_symbol"]), ";").alias("leading_edge_genes"))
 
 
-def null_scores(hits: DataFrame, ranking: DataFrame, permutations: int, seed: int) -> DataFrame:
-    """Scores of random sets of the same size: distinct ranks drawn by a seeded key.
+def null_scores(hits: DataFrame, ranking: DataFrame, permutations: int, seed: int, max_size: int = 500) -> DataFrame:
+    """Scores of random sets, one per ranking, set size and permutation, shared by all terms of that size.
 
-    Draws are made from the ranking's length alone; their scores come from an equi
-    join on (ranking, rank), so no task ever holds a ranking. A quarter more than the
-    set size is drawn and the first distinct ``set_size`` are used; for sets above a
-    quarter of the ranking every rank is a candidate and a random key orders them.
+    A permutation sorts the ranking's places by md5(seed:ranking:permutation:rank); a random
+    set of m members is the first m of them. No more than ``max_size`` places of each
+    permutation are kept, and Spark drops the others before they are shuffled.
     """
-    by = [*RANKING, "library_id", "term"]
-    sets = hits.select(*by, "set_size", "n_ranked").distinct()
-    p = sets.withColumn("perm", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
-    dense = F.col("set_size") * 4 > F.col("n_ranked")
-    last = F.when(dense, F.col("n_ranked")).otherwise(
-        F.floor(F.col("set_size") * 1.25) + 32)
-    draws = p.withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), last.cast("long"))))
-    key = F.xxhash64(F.lit(seed), *by, "perm", "k")
-    draws = draws.withColumn("_key", key).withColumn(
-        "rank", F.when(dense, F.col("k")).otherwise(F.pmod(key, F.col("n_ranked")) + 1))
-    # Distinct ranks in draw order; dense sets are ordered by the random key itself.
-    first = draws.groupBy(*by, "perm", "set_size", "n_ranked", "rank").agg(
-        F.min(F.when(dense, F.col("_key")).otherwise(F.col("k"))).alias("_turn"))
-    w = W.partitionBy(*by, "perm").orderBy("_turn", "rank")
-    chosen = first.withColumn("_pick", F.row_number().over(w)).filter(F.col("_pick") <= F.col("set_size"))
-    # Too few distinct draws must never pass silently.
-    short = W.partitionBy(*by, "perm")
-    chosen = chosen.withColumn("_got", F.count(F.lit(1)).over(short)).withColumn(
-        "_ok", F.when(F.col("_got") < F.col("set_size"), F.raise_error(F.lit("NULL_DRAW_TOO_SHORT")).cast("boolean"))
-        .otherwise(F.lit(True))).filter("_ok")
-    at = chosen.join(ranking.select(*RANKING, "rank", F.col("original_effect").alias("score")), [*RANKING, "rank"])
-    return enrichment_score(at, [*by, "perm"]).select(*by, "perm", F.col("es").alias("null_es"))
+    sizes = hits.select(*RANKING, "set_size", "n_ranked").distinct().withColumn("size_key", F.col("set_size"))
+    p = ranking.select(*RANKING, "rank", F.col("original_effect").alias("score")).withColumn(
+        "perm", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
+    p = p.withColumn("_key", F.md5(F.concat_ws(":", F.lit(seed), *RANKING, "perm", "rank")))
+    w = W.partitionBy(*RANKING, "perm").orderBy("_key", "rank")
+    chosen = p.withColumn("_pick", F.row_number().over(w)).filter(F.col("_pick") <= max_size)
+    at = chosen.join(sizes, RANKING).filter(F.col("_pick") <= F.col("set_size"))
+    by = [*RANKING, "size_key", "perm"]
+    return enrichment_score(at, by).select(*by, F.col("es").alias("null_es"))
 
 
 def _share_at_least(observed: DataFrame, pool: DataFrame, by: list[str], out: str) -> DataFrame:
@@ -183,7 +169,8 @@ def enrichment(ranking: DataFrame, gene_sets: DataFrame, permutations: int = 100
     scope = [*RANKING, "library_id"]
     hits = hits_of(ranking, gene_sets, min_size, max_size)
     obs = durable(enrichment_score(hits, by))
-    null = durable(null_scores(hits, ranking, permutations, seed))
+    shared = durable(null_scores(hits, ranking, permutations, seed, max_size))
+    null = obs.select(*by, F.col("set_size").alias("size_key")).join(shared, [*RANKING, "size_key"]).drop("size_key")
     sign = F.when(F.col("null_es") >= 0, 1).otherwise(-1)
     both = null.join(obs.select(*by, "es"), by)
     same = (F.col("null_es") >= 0) == (F.col("es") >= 0)

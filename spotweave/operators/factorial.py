@@ -47,7 +47,7 @@ def canonical_pseudobulk(pb: DataFrame, check: bool = True) -> DataFrame:
     spots = pb.select(*ROI, "roi_label_source", "n_spots").distinct().groupBy(*ROI).agg(
         F.sum("n_spots").alias("n_spots"))
     sums = pb.groupBy(*ROI, "gene_id").agg(
-        F.first("gene_symbol").alias("gene_symbol"), F.sum("sum_raw_counts").alias("sum_raw_counts"),
+        F.min("gene_symbol").alias("gene_symbol"), F.sum("sum_raw_counts").alias("sum_raw_counts"),
         F.sum("detected_spots").alias("detected_spots"))
     return sums.join(spots, ROI)
 
@@ -106,7 +106,7 @@ def factorial_effects(normalised: DataFrame, samples: DataFrame, eligible: DataF
         return F.max(F.when(F.col("design_cell") == c, F.col(column)))
 
     wide = t.groupBy(*by).agg(
-        F.first("gene_symbol").alias("gene_symbol"),
+        F.min("gene_symbol").alias("gene_symbol"),
         *[at(c, "log2_cpm_plus1").alias(f"_{c}") for c in DESIGN_CELLS],
         F.sum("sum_raw_counts").alias("combined_raw_counts_four_sections"),
         F.count_if(F.col("sum_raw_counts") > 0).alias("n_nonzero_design_cells"),

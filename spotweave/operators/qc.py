@@ -119,12 +119,15 @@ def barcode_rank_curve(table: DataFrame, value: str = "raw_total_counts") -> Dat
 
 
 def histogram(df: DataFrame, by: list[str], value, lo: float, hi: float, bins: int) -> DataFrame:
-    """Fixed-bin counts; the last bin includes its upper edge."""
+    """Fixed-bin counts; the last bin includes its upper edge.
+
+    Values below the range are bin -1, those above it bin ``bins``; NULL and NaN aren't counted.
+    """
     x = value
     width = (hi - lo) / bins
-    index = F.least(F.floor((x - lo) / width), F.lit(bins - 1)).cast("int")
-    inside = (x >= lo) & (x <= hi)
-    return df.filter(inside).groupBy(*by, index.alias("bin")).agg(
+    inside = F.least(F.floor((x - lo) / width), F.lit(bins - 1))
+    index = F.when(x < lo, -1).when(x > hi, bins).otherwise(inside).cast("int")
+    return df.filter(x.isNotNull() & ~F.isnan(x)).groupBy(*by, index.alias("bin")).agg(
         F.count(F.lit(1)).alias("n")).withColumn("bin_left", F.lit(lo) + F.col("bin") * width)
 
 

@@ -658,9 +658,9 @@ def _(spark, d):
 
 
 @query("a36_histogram",
-       "select sample_id, cast(least(floor((x - 0.0) / 0.1), 29) as integer) as bin, count(*) as n, "
-       "round(cast(least(floor((x - 0.0) / 0.1), 29) as integer) * 0.1::double, 6) as bin_left from (select sample_id, "
-       "log10(1 + total_counts)::double as x from v_spot_qc) where x >= 0 and x <= 3 group by 1, 2")
+       "select sample_id, bin, count(*) as n, round(bin * 0.1::double, 6) as bin_left from (select sample_id, cast(case "
+       "when x < 0 then -1 when x > 3 then 30 else least(floor((x - 0.0) / 0.1), 29) end as integer) as bin from (select "
+       "sample_id, log10(1 + total_counts)::double as x from v_spot_qc)) group by 1, 2")
 def _(spark, d):
     x = F.log10(F.col("total_counts") + 1)
     h = qc.histogram(spot_metrics(spark, d).withColumn("x", x), ["sample_id"], F.col("x"), 0.0, 3.0, 30)

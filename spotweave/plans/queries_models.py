@@ -22,7 +22,7 @@ KEY = ["sample_id", "barcode"]
 
 @query("m01_highly_variable_genes")
 def _(spark, d):
-    return pca.highly_variable(v.counts(spark, d), v.primary(spark, d), n_top=200)
+    return pca.highly_variable(v.counts(spark, d), v.primary(spark, d), n_top=3000)
 
 
 @query("w14_hvg_rank_combination", """
@@ -568,7 +568,25 @@ def _(spark, d):
         "n_units_g1_t0", "n_units_g1_t1", "n_units_total")
 
 
-@query("m29_model_diagnostics")
+@query("m29_model_diagnostics", UNIT_SQL + """
+, cells as (select n.roi_label_canonical, n.sample_id, lower(genotype) || '_' || lower(treatment) as cell from n join v_samples using (sample_id)
+  where n_spots >= 50),
+u as (select roi_label_canonical, count(*) as units, count(*) filter (cell = 'g0_t0') as a, count(*) filter (cell = 'g0_t1') as b,
+  count(*) filter (cell = 'g1_t0') as c, count(*) filter (cell = 'g1_t1') as d from cells group by 1),
+al as (select distinct roi_label_canonical from n),
+gi as (select roi_label_canonical, gene_id, sum(c) as t from c group by 1, 2),
+gt as (select roi_label_canonical, count(*) filter (t >= 10) as tested from gi group by 1),
+k as (select roi_label_canonical, count(*) as n from ok group by 1),
+g as (select roi_label_canonical, gene_id, sum(ln(c)) / n as g from c join k using (roi_label_canonical) group by 1, 2, n),
+m as (select roi_label_canonical, sample_id, quantile_cont(ln(c) - g, 0.5) as m from c join g using (roi_label_canonical, gene_id) group by 1, 2),
+sf as (select roi_label_canonical, exp(m - avg(m) over (partition by roi_label_canonical)) as f from m),
+ss as (select roi_label_canonical, min(f) as lo, quantile_cont(f, 0.5) as mid, max(f) as hi from sf group by 1)
+select roi_label_canonical, case when least(a, b, c, d) >= 3 then 'fitted' else 'not_fitted_insufficient_roi_replication' end as fit_status,
+  case when units is null then 0 else (select count(distinct 'G' || l_partkey) from lineitem) end as n_genes_input, coalesce(tested, 0) as n_genes_tested,
+  coalesce(units - (a > 0)::int - (b > 0)::int - (c > 0)::int - (d > 0)::int, 0) as residual_df, round(lo, 6) as size_factor_min,
+  round(mid, 6) as size_factor_median, round(hi, 6) as size_factor_max
+from al left join u using (roi_label_canonical) left join gt using (roi_label_canonical) left join ss using (roi_label_canonical)
+""")
 def _(spark, d):
     counts, rows, _, pb = unit_counts(spark, d)
     return rounded(glm.model_diagnostics(glm.model_audit(rows, pb), glm.size_factors(counts)), "size_factor_min",
@@ -610,10 +628,58 @@ def _(spark, d):
     return rounded(t.select("roi_label_canonical", "contrast_id", "term", "set_size", "n_ranked", "es"), "es")
 
 
-@query("m31_enrichment_null")
+def _score_sql(source: str, by: str) -> str:
+    """Score and edge of sets of hits ``source`` (``by``, rank, m, n, w): extremes lie at or just before a hit."""
+    return f"""(select {by}, any_value(m) as m, any_value(n) as n, max(hi) as mx, min(lo) as mn,
+  min(rank) filter (hi = top) as peak, max(rank) filter (lo = low) as dip from (select *, max(hi) over (partition by {by}) as top,
+  min(lo) over (partition by {by}) as low from (select *, round(case when tot > 0 then cum / tot else i::double / m end - miss, 12) as hi,
+  round(case when tot > 0 then (cum - w) / tot else (i - 1)::double / m end - miss, 12) as lo from (select *,
+  coalesce((rank - i) / nullif(n - m, 0)::double, 0) as miss from (select *, sum(w) over (partition by {by} order by rank) as cum,
+  sum(w) over (partition by {by}) as tot, row_number() over (partition by {by} order by rank) as i from {source})))) group by {by})"""
+
+
+RC = "roi_label_canonical, contrast_id"
+
+
+@query("m31_enrichment_null", f"""
+with n as (select {RC}, count(*) as n from v_rank4 group by all),
+h as (select r.*, library_id, term, n.n, count(*) over (partition by {RC}, library_id, term) as m, abs(original_effect) as w
+  from v_rank4 r join v_gene_sets g on r.gene_symbol = g.gene join n using ({RC}) qualify m between 5 and 500),
+o as (select *, case when mx >= -mn then mx else mn end as es, case when mx >= -mn then peak else dip end as edge from
+  {_score_sql("h", f"{RC}, library_id, term")}),
+led as (select {RC}, library_id, term, count(*) as n_led, string_agg(gene_symbol, ';' order by rank) as genes from h join o
+  using ({RC}, library_id, term) where case when es >= 0 then rank <= edge else rank >= edge end group by all),
+pick as (select {RC}, p, rank, abs(original_effect) as w, row_number() over (partition by {RC}, p order by md5('0:' || roi_label_canonical
+  || ':' || contrast_id || ':' || p || ':' || rank), rank) as k from v_rank4, range(1, 101) t(p) qualify k <= 500),
+draw as (select {RC}, p, rank, w, m, n from pick join (select distinct {RC}, m, n from o) using ({RC}) where k <= m),
+nul as (select {RC}, m, p, case when mx >= -mn then mx else mn end as null_es from {_score_sql("draw", f"{RC}, m, p").replace("any_value(m) as m, ", "")}),
+j as (select o.*, p, null_es from o join nul using ({RC}, m)),
+per as (select {RC}, library_id, term, avg(null_es) filter (null_es >= 0) as pos, avg(-null_es) filter (null_es < 0) as neg,
+  count(*) filter ((null_es >= 0) = (es >= 0)) as same, count(*) filter ((null_es >= 0) = (es >= 0) and abs(null_es) >= abs(es)) as ge from j group by all),
+t as (select o.*, es >= 0 as up, es / nullif(case when es >= 0 then pos else neg end, 0) as nes, ge / nullif(same, 0)::double as pv
+  from o join per using ({RC}, library_id, term)),
+x as (select * from (select {RC}, library_id, p, null_es >= 0 as up, abs(null_es / nullif(case when null_es >= 0 then pos else neg end, 0)) as v
+  from j join per using ({RC}, library_id, term)) where v is not null),
+nn as (select {RC}, library_id, up, count(*) as n_null from x group by all),
+no as (select {RC}, library_id, up, count(*) as n_obs from t where nes is not null group by all),
+ge as (select t.roi_label_canonical, t.contrast_id, t.library_id, t.term, count(x.v) as null_ge from t left join x on
+  (t.roi_label_canonical, t.contrast_id, t.library_id, t.up) = (x.roi_label_canonical, x.contrast_id, x.library_id, x.up) and x.v >= abs(t.nes) group by all),
+og as (select t.roi_label_canonical, t.contrast_id, t.library_id, t.term, count(y.term) as obs_ge from t left join t y on
+  (t.roi_label_canonical, t.contrast_id, t.library_id, t.up) = (y.roi_label_canonical, y.contrast_id, y.library_id, y.up) and abs(y.nes) >= abs(t.nes) group by all),
+mxx as (select {RC}, library_id, up, p, max(v) as v from x group by all),
+fw as (select t.roi_label_canonical, t.contrast_id, t.library_id, t.term, count(mxx.v) as max_ge from t left join mxx on
+  (t.roi_label_canonical, t.contrast_id, t.library_id, t.up) = (mxx.roi_label_canonical, mxx.contrast_id, mxx.library_id, mxx.up) and mxx.v >= abs(t.nes) group by all)
+select {RC}, library_id, term, round(es, 6) as es, round(nes, 6) as nes, round(pv, 6) as nominal_permutation_p_value,
+  round(least(null_ge / n_null::double / (obs_ge / n_obs::double), 1.0::double), 6) as fdr_q_value, max_ge / 100.0::double as fwer_p_value,
+  m as set_size, n as n_ranked, round(n_led / m::double, 6) as tag_fraction,
+  round(case when es >= 0 then edge else n - edge + 1 end / n::double, 6) as gene_fraction, genes as leading_edge_genes
+from t join ge using ({RC}, library_id, term) join og using ({RC}, library_id, term) join fw using ({RC}, library_id, term)
+  join led using ({RC}, library_id, term) join no using ({RC}, library_id, up) left join nn using ({RC}, library_id, up) where nes is not null
+""")
 def _(spark, d):
     ranking = durable(en.prepare_ranking(id_effects(spark, d)))
-    return en.enrichment(ranking, v.gene_sets(spark, d), permutations=20, seed=0)
+    t = en.enrichment(ranking, v.gene_sets(spark, d)).drop("n_permutations", "seed", "inference_status")
+    return rounded(t, "es", "nes", "nominal_permutation_p_value", "fdr_q_value", "tag_fraction", "gene_fraction")
 
 
 @query("m32_task_grid",
@@ -660,11 +726,11 @@ def _(spark, d):
 
 @query("m34_layout")
 def _(spark, d):
-    return rounded(nb.spectral_layout(expression_graph(spark, d), iterations=10), "x", "y", digits=4)
+    return rounded(nb.spectral_layout(expression_graph(spark, d)), "x", "y", digits=4)
 
 
 @query("m35_integration_eligibility",
-       "select case when count(distinct technical_batch) < 2 or count(distinct technical_batch) = count(*) then 'not_eligible' "
+       "select case when count(technical_batch) < count(*) or count(*) = 0 then 'not_eligible' "
        "else 'not_requested' end as integration_status, count(*) as n_samples from v_samples")
 def _(spark, d):
     s = v.samples(spark, d)

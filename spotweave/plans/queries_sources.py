@@ -347,7 +347,8 @@ def _(spark, d):
 def artifacts(spark, d):
     """Documents as files of a run: path by source and id, content is the text."""
     doc = v.table(spark, d, "documents")
-    ext = F.when(F.col("lang") == "en", ".tsv").when(F.col("lang") == "fr", ".json").otherwise(".bin")
+    ext = F.when(F.col("lang") == "en", ".tsv").when(F.col("lang") == "fr", ".json").when(
+        F.col("lang") == "de", ".csv.gz").otherwise(".bin")
     return doc.select(
         F.concat(F.lit("results/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), ext)
         .alias("path"), F.octet_length("text").cast("long").alias("length"),
@@ -356,10 +357,10 @@ def artifacts(spark, d):
 
 @query("s22_artifact_inventory",
        "select 'results/' || source || '/' || doc_id || case lang when 'en' then '.tsv' when 'fr' then '.json' "
-       "else '.bin' end as path, cast(octet_length(encode(text)) as bigint) as size_bytes, source as module, "
+       "when 'de' then '.csv.gz' else '.bin' end as path, cast(octet_length(encode(text)) as bigint) as size_bytes, source as module, "
        "case when octet_length(encode(text)) <= 4096 then sha256(text) end as sha256, "
        "case lang when 'en' then 'text/tab-separated-values' when 'fr' then 'application/json' "
-       "else 'application/octet-stream' end as media_type from documents")
+       "when 'de' then 'text/csv' else 'application/octet-stream' end as media_type from documents")
 def _(spark, d):
     a = artifacts(spark, d)
     return r.artifact_inventory(a.unionByName(a), 4096)

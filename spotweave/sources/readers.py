@@ -393,7 +393,8 @@ def artifact_inventory(files: DataFrame, hash_limit: int) -> DataFrame:
 
     ``files`` has path, length, content (as the ``binaryFile`` source gives).
     """
-    ext = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
+    plain = F.regexp_replace(F.lower("path"), r"(?<=\.[a-z0-9]{1,8})\.gz$", "")  # the type of what is compressed
+    ext = F.regexp_extract(plain, r"\.([^./]+)$", 1)
     media = F.create_map(*[F.lit(x) for kv in MEDIA_TYPES.items() for x in kv])
     return files.dropDuplicates(["path"]).select(
         "path", F.col("length").alias("size_bytes"),
