@@ -76,24 +76,35 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 
 def read_10x_count_matrix(spark: SparkSession, matrix_path: str, features_path: str,
                           barcodes_path: str) -> DataFrame:
-    """Gene-expression triplets of all samples from MTX text."""
+    """Gene-expression triplets of all samples from MTX text.
+
+    Contracts, in one pass over the text: as many entries as the size line says, counts finite,
+    not negative and whole. Stored zeros are dropped; barcodes and gene ids are unique.
+    """
     body = _sample_lines(spark, matrix_path).filter(~F.col("value").startswith("%"))
-    first = body.groupBy("sample_id").agg(F.min(F.struct("block", "seq")).alias("head"))
     parts = F.split(F.trim("value"), r"\s+")
-    entries = (
-        body.join(first, "sample_id")
-        .filter(F.struct("block", "seq") != F.col("head"))
-        .select("sample_id", parts[0].cast("long").alias("row"), parts[1].cast("long").alias("col"),
-                parts[2].cast("double").alias("value"))
-    )
+    heads = body.groupBy("sample_id").agg(F.min_by(F.struct("block", "seq", "value"), F.struct("block", "seq")).alias("head"))
+    entries = body.join(heads, "sample_id").filter(F.struct("block", "seq") != F.struct("head.block", "head.seq"))
+    x = parts[2].try_cast("double")
+    bad = x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")) | (x < 0) | (x != F.floor(x))
+    seen = entries.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("n_bad"))
+    nnz = F.split(F.trim("head.value"), r"\s+")[2].try_cast("long")
+    checked = heads.select("sample_id", nnz.alias("nnz")).join(seen, "sample_id", "left").fillna(0, ["n", "n_bad"])
+    checked = checked.filter("n_bad > 0 or nnz is null or nnz <> n").select("sample_id", "nnz", "n", "n_bad").limit(5).collect()
+    if any(r["n_bad"] for r in checked):
+        raise ContractError("RAW_COUNT_CONTRACT", str([r.asDict() for r in checked]))
+    if checked:
+        raise ContractError("MTX_SIZE_MISMATCH", str([r.asDict() for r in checked]))
+    entries = entries.select("sample_id", parts[0].cast("long").alias("row"), parts[1].cast("long").alias("col"),
+                             x.cast("long").alias("count")).filter("count <> 0")
     features = read_features(spark, features_path).filter("feature_type = 'Gene Expression'")
     enforce(duplicate_keys(features, ["sample_id", "gene_id"]), "GENE_ID_DUPLICATE")
     barcodes = _numbered(spark, barcodes_path).select(
         "sample_id", F.col("idx").alias("col"), F.trim("value").alias("barcode"))
+    enforce(duplicate_keys(barcodes, ["sample_id", "barcode"]), "BARCODE_DUPLICATE")
     return (
         entries.join(features, ["sample_id", "row"]).join(barcodes, ["sample_id", "col"])
-        .select("sample_id", "barcode", "gene_id", "gene_symbol",
-                F.col("value").cast("long").alias("count"))
+        .select("sample_id", "barcode", "gene_id", "gene_symbol", "count")
     )
 
 
@@ -109,15 +120,31 @@ POSITION_COLUMNS = (
 
 
 def read_positions(spark: SparkSession, path: str) -> DataFrame:
-    """Headered or legacy position files; the sample is the folder name."""
-    raw = (spark.read.option("recursiveFileLookup", True).schema(text_schema(POSITION_COLUMNS))
-           .csv(path).withColumn(
-               "sample_id", F.regexp_extract(F.col("_metadata.file_path"), "([^/=]+)/[^/]+$", 1)))
-    rows = raw.filter(~F.col("barcode").eqNullSafe("barcode"))
-    typed = rows.select(
-        "sample_id", F.trim("barcode").alias("barcode"),
-        *[F.col(c).try_cast("int").alias(c) for c in POSITION_COLUMNS[1:4]],
-        *[F.col(c).try_cast("double").alias(c) for c in POSITION_COLUMNS[4:]])
+    """Headered or legacy position files; the sample is the folder name.
+
+    A header names the columns of its file, in any order; without one they stand in file
+    order. A field that is neither empty nor a number is an error.
+    """
+    lines = _sample_lines(spark, path).filter(F.trim("value") != "")
+    fields = F.transform(F.split("value", ","), lambda x: F.trim(F.regexp_replace(x, r'^\s*"|"\s*$', "")))
+    is_head = F.array_contains(fields, "barcode")
+    heads = lines.filter(is_head).groupBy("sample_id").agg(F.min_by(fields, F.struct("block", "seq")).alias("head"))
+    rows = lines.filter(~is_head).select("sample_id", fields.alias("fields")).join(heads, "sample_id", "left")
+    names = F.coalesce("head", F.array(*[F.lit(c) for c in POSITION_COLUMNS]))
+    found = rows.select("sample_id", *[F.get("fields", F.array_position(names, c).cast("int") - 1).alias(c) for c in POSITION_COLUMNS])
+    absent = heads.filter(F.size(F.array_except(F.array(*[F.lit(c) for c in POSITION_COLUMNS]), "head")) > 0)
+    enforce(absent.select("sample_id", F.array_join("head", ",").alias("header")), "POSITION_COLUMNS_MISSING")
+    kinds = {c: "int" if i < 4 else "double" for i, c in enumerate(POSITION_COLUMNS) if i}
+
+    def number(c: str):
+        x = F.nullif(F.col(c), F.lit("")).try_cast("double")
+        return F.when(x == F.floor(x), x.try_cast("int")) if kinds[c] == "int" else x
+
+    junk = F.lit(False)
+    for c in kinds:
+        junk = junk | ((F.coalesce(F.col(c), F.lit("")) != "") & number(c).isNull())
+    enforce(found.filter(junk), "POSITION_NOT_NUMERIC")
+    typed = found.select("sample_id", "barcode", *[number(c).alias(c) for c in kinds])
     enforce(duplicate_keys(typed, ["sample_id", "barcode"]), "POSITION_BARCODE_DUPLICATE")
     return typed
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from spotweave.functions.ordering import row_rank
 from spotweave.operators.contracts import ContractError
@@ -16,12 +16,15 @@ def write_tsv_gz(df: DataFrame, path: str) -> None:
 
 
 def write_checkpoint(df: DataFrame, path: str, semantics: dict[str, str] | None = None) -> DataFrame:
-    """Columnar checkpoint by sample, re-read and counted after the write."""
-    expected = df.count()
-    df.write.mode("overwrite").partitionBy("sample_id").parquet(path)
+    """Columnar checkpoint by sample, re-read and counted after the write.
+
+    The source runs once: its rows are counted as they are written.
+    """
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy("sample_id").parquet(path)
     spark = df.sparkSession
     back = spark.read.parquet(path).withColumn("sample_id", F.col("sample_id").cast("string"))
-    if back.count() != expected:
+    if back.count() != seen.get["n"]:
         raise ContractError("CHECKPOINT_ROW_COUNT", path)
     if semantics:
         side = spark.createDataFrame([(semantics,)], "semantics map<string,string>")
