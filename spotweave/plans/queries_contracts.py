@@ -75,11 +75,12 @@ def _(spark, d):
 
 @query("v08_declared_samples",
        "(select 'S' || n_nationkey as sample_id, 'missing' as side from nation where n_nationkey not in "
-       "(select s_nationkey from supplier where s_acctbal > 5000)) union all (select distinct 'S' || s_nationkey, "
-       "'extra' from supplier where s_acctbal > 5000 and s_nationkey not in (select n_nationkey from nation))")
+       "(select s_nationkey from supplier where s_acctbal > 5000)) union all (select distinct case when s_acctbal > 5000 then "
+       "'S' else 'X' end || s_nationkey, 'extra' from supplier where s_acctbal <= 5000 or s_nationkey not in (select n_nationkey "
+       "from nation))")
 def _(spark, d):
-    seen = v.table(spark, d, "supplier").filter("s_acctbal > 5000").select(
-        F.concat(F.lit("S"), F.col("s_nationkey").cast("string")).alias("sample_id"))
+    named = F.when(F.col("s_acctbal") > 5000, "S").otherwise("X")
+    seen = v.table(spark, d, "supplier").select(F.concat(named, F.col("s_nationkey").cast("string")).alias("sample_id"))
     return c.unexpected_samples(seen, v.samples(spark, d))
 
 
@@ -209,15 +210,16 @@ def _(spark, d):
 
 @query("v20_raw_orphans",
        "with raw as (select distinct sample_id, barcode from v_counts), "
-       "pos as (select p.*, q.barcode is not null as in_primary_matrix from v_positions p left join v_primary q "
-       "using (sample_id, barcode) where roi_label <> '2-HIGH') "
+       "pos as (select p.*, q.barcode is not null as in_primary_matrix from (select * replace (barcode || case when roi_label = "
+       "'2-HIGH' then 'x' else '' end as barcode) from v_positions) p left join v_primary q using (sample_id, barcode)) "
        "(select sample_id, barcode, 'RAW_BARCODE_WITHOUT_POSITION' as code from raw anti join pos "
        "using (sample_id, barcode)) union all (select sample_id, barcode, case when in_primary_matrix then "
        "'PRIMARY_POSITION_ABSENT_RAW' else 'IN_TISSUE_POSITION_ABSENT_RAW' end from pos anti join raw "
        "using (sample_id, barcode) where in_primary_matrix or in_tissue = 1)")
 def _(spark, d):
     prim = v.primary(spark, d).withColumn("p", F.lit(True))
-    pos = v.positions(spark, d).filter("roi_label <> '2-HIGH'").join(
+    moved = F.concat("barcode", F.when(F.col("roi_label") == "2-HIGH", "x").otherwise(""))
+    pos = v.positions(spark, d).withColumn("barcode", moved).join(
         prim, ["sample_id", "barcode"], "left").withColumn("in_primary_matrix", F.coalesce("p", F.lit(False)))
     return c.raw_orphans(v.counts(spark, d), pos)
 

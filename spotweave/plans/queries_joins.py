@@ -89,12 +89,13 @@ def _(spark, d):
 
 
 def audit_sides(spark, d):
-    """Current: all places. Reference: 'P' orders lack; suffix-only keys of 'F' urgent orders collide."""
+    """Current: all places. Reference: 'P' orders name another sample; suffix-only keys of 'F' urgent orders collide."""
     c = v.clusters(spark, d)
     cur = c.select(*KEY, F.col("label_a").alias("label"),
                    F.concat_ws("::", *KEY).alias("source_identifier"),
                    (~((F.col("label_a") == "5-LOW") & (F.col("label_c") == "F"))).alias("identifier_valid"))
-    ref = c.filter("label_c <> 'P'").select(
+    other = F.concat(F.when(F.col("label_c") == "P", "T").otherwise(""), "sample_id")
+    ref = c.withColumn("sample_id", other).select(
         *KEY, F.col("label_b").alias("label"), F.concat_ws("-", "barcode", "sample_id").alias("source_identifier"),
         F.lit(True).alias("identifier_valid"))
     again = c.filter("label_c = 'F' and label_a = '1-URGENT'").select(
@@ -107,7 +108,7 @@ AUDIT_SQL = """
 with cur as (select sample_id, barcode, label_a as label, sample_id || '::' || barcode as sid,
     not (label_a = '5-LOW' and label_c = 'F') as ok from v_clusters),
 ref as (select sample_id, barcode, label_b as label, barcode || '-' || sample_id as sid, true as ok
-    from v_clusters where label_c <> 'P'
+    from (select * replace (case when label_c = 'P' then 'T' else '' end || sample_id as sample_id) from v_clusters)
   union all select sample_id, barcode, label_b, barcode || '-copy', true from v_clusters
     where label_c = 'F' and label_a = '1-URGENT'),
 c as (select *, ok and count(*) filter (ok) over (partition by sample_id, barcode) > 1 as coll from cur),
@@ -161,14 +162,17 @@ def _(spark, d):
 
 def metric_sides(spark, d):
     q = qc.spot_qc(v.positions(spark, d), v.counts(spark, d), v.genes(spark, d), v.MITO_PREFIXES)
-    lacking = v.samples(spark, d).filter("technical_batch = 'B3'").select("sample_id")
-    return compare.metric_rows(q), compare.metric_rows(
-        q.filter("in_tissue = 1").join(lacking, "sample_id", "left_anti"))
+    batch = v.samples(spark, d).select("sample_id", (F.col("technical_batch") == "B3").alias("_b3"))
+    ref = q.join(batch, "sample_id", "left").withColumn(
+        "total_counts", F.col("total_counts") + F.when(F.col("in_tissue") == 1, 0).otherwise(1)).withColumn(
+        "sample_id", F.concat(F.when(F.col("_b3"), "R").otherwise(""), "sample_id")).drop("_b3")
+    return compare.metric_rows(q), compare.metric_rows(ref)
 
 
 METRIC_SQL = """
-with m as (select 'c' as side, * from v_spot_qc union all select 'r', * from v_spot_qc where in_tissue = 1
-  and sample_id not in (select sample_id from v_samples where technical_batch = 'B3')),
+with m as (select 'c' as side, * from v_spot_qc union all select 'r', * replace (total_counts + case when in_tissue = 1 then 0
+  else 1 end as total_counts, case when sample_id in (select sample_id from v_samples where technical_batch = 'B3') then 'R' else ''
+  end || sample_id as sample_id) from v_spot_qc),
 g as (select side, sample_id, unnest([{'metric': 'n_spots', 'value': count(*)::double},
   {'metric': 'mean_detected_genes', 'value': avg(n_genes_by_counts)},
   {'metric': 'median_detected_genes', 'value': quantile_cont(n_genes_by_counts::double, 0.5)},
@@ -265,10 +269,12 @@ def _(spark, d):
 
 
 @query("u03_union_distinct",
-       "select l_partkey as part from lineitem where l_returnflag = 'R' union select p_partkey from part where p_size > 40")
+       "select l_returnflag || ':' || l_partkey as part from lineitem union select case when p_size > 40 then 'R' else 'N' end || "
+       "':' || p_partkey from part")
 def _(spark, d):
-    a = v.table(spark, d, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_partkey").alias("part"))
-    return a.union(v.table(spark, d, "part").filter("p_size > 40").select("p_partkey")).distinct()
+    a = v.table(spark, d, "lineitem").select(F.concat_ws(":", "l_returnflag", "l_partkey").alias("part"))
+    kind = F.when(F.col("p_size") > 40, "R").otherwise("N")
+    return a.union(v.table(spark, d, "part").select(F.concat_ws(":", kind, "p_partkey"))).distinct()
 
 
 @query("u04_difference",

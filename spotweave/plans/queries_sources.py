@@ -49,8 +49,8 @@ def _(spark, d):
        "pxl_col as pxl_col_in_fullres from v_positions")
 def _(spark, d):
     root = scratch_path(spark, "positions")
-    p = v.positions(spark, d).select("sample_id", "barcode", "in_tissue", "array_row", "array_col",
-                                     "pxl_row", "pxl_col")
+    p = v.positions(spark, d).select("sample_id", F.col("pxl_col").alias("pxl_col_in_fullres"), "barcode", "in_tissue",
+                                     "array_row", "array_col", F.col("pxl_row").alias("pxl_row_in_fullres"))
     p.write.partitionBy("sample_id").csv(root, header=True, nullValue="")
     return r.read_positions(spark, root)
 

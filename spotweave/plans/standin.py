@@ -114,7 +114,10 @@ def aliases(spark):
 
 
 def roi_table(spark, d):
-    """Manual labels by barcode; 'F' orders carry suffix -2, blank labels for 5-LOW 'P' orders."""
+    """Manual labels by barcode; 'F' orders carry suffix -2, blank labels for 5-LOW 'P' orders.
+
+    Places of '3-MEDIUM' orders have no label; a label without a place would break a contract.
+    """
     key = F.col("o_orderkey")
     core = F.substring(barcode(key), 1, 16)
     return table(spark, d, "orders").filter("o_orderpriority <> '3-MEDIUM'").select(
