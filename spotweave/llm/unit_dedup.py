@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from spotweave.llm.common import map_batches, packed, pick, unpacked, written
 
-MIN_WORDS = 8
+# Shorter repeated spans are mostly common lines, which line dedup deals with.
+MIN_WORDS = 16
 SEPARATORS = {"sentence": re.compile(r"\n|(?<=[.!?])[ \t]+"), "line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t]*\n\s*")}
 
 

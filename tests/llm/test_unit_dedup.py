@@ -59,9 +59,9 @@ def test_odd_rows(spark):
     line = "one two three four five six seven eight nine"
     rows = [(1, None), (2, ""), (None, line), (4, f"{line}\n\nÄ"), (4, f"{line}\n\nÄ"), (5, line.upper() + "  \n" + line), (6, "x. " * 50_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as row", "2 as start", "3 as TEXT")
-    got = sorted(((r["doc_id"] or 0, r["start"], r["end"], r["kept_doc_id"]) for r in m.repeats(df).collect()))
+    got = sorted(((r["doc_id"] or 0, r["start"], r["end"], r["kept_doc_id"]) for r in m.repeats(df, min_words=8).collect()))
     assert got[:3] == [(0, 0, 44, 4), (4, 0, 47, 4), (5, 0, 91, 4)] and got[3][0] == 6 and len(got) == 4
-    out = m.deduplicated(df)
+    out = m.deduplicated(df, min_words=8)
     assert out.columns == df.columns
     assert sorted(str(r[1]) for r in out.filter("doc_id < 6 or doc_id is null").collect()) == sorted(["None", "", "", "", "", f"{line}\n\nÄ"])
     assert m.repeats(df.limit(0)).collect() == [] and m.deduplicated(df.limit(0)).collect() == []
