@@ -26,8 +26,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 def own_checkpoint_dir(spark: SparkSession) -> None:
     """For entry points, tests and the bench: a local run that names no shared folder gets one of its own."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-shared-"))
+    sc = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and not sc.getCheckpointDir() and sc.master.startswith("local["):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
