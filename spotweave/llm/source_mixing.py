@@ -62,22 +62,10 @@ def targets(rows: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataF
     return s.select("source_key", "source_size", target.alias("target"))
 
 
-def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 0,
-        carry: bool = False) -> DataFrame:
-    """Per input row doc_id, size, source_size, target, epochs and taken (long words, repeats counted).
-
-    ``carry`` adds the whole input row as ``_row``; without it no text is shuffled or written.
-
-    A null text has no words and is never taken; a null source is a source of its own, the
-    last. Repeated rows are documents of their own; rows of equal key stand by doc_id, size
-    and text. A source without words has target 0. An empty table gives no rows. Other
-    columns are ignored, or stay inside ``_row``, and can't clash.
-    """
-    wanted = {"doc_id": "long", "text": "string", "source": "string"}
+def plan(rows: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataFrame:
+    """The rows of ``keyed`` (without texts) with source_size, target, epochs and taken."""
     order = ["sort_key", "doc_id", "size", "tie"]
-    small = written(keyed(pick(documents, **wanted), seed).drop("text", "source"), "mix")
-    goals = targets(small, weights, max_epochs)
-    rows = keyed(packed(documents, **wanted), seed).drop("text", "source") if carry else small
+    goals = targets(rows, weights, max_epochs)
     # The partition number is written with the rows, so every later reading sees the same one.
     dealt = written(rows.repartitionByRange("source_key", *order).withColumn("part", F.spark_partition_id()), "mix")
     sums = dealt.groupBy("part", "source_key").agg(F.sum("size").alias("words"))
@@ -91,19 +79,37 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
     out = out.withColumn("epochs", epochs)
     missing = budget - F.col("epochs") * F.col("source_size") - F.col("offset") - F.col("before")
     part = F.greatest(F.lit(0), F.least(F.col("size"), missing))
-    return out.select(*["_row"] * carry, "doc_id", "size", "source_size", "target", "epochs",
-                      (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"))
+    return out.withColumn("taken", (F.col("epochs") * F.col("size") + part).cast("long"))
+
+
+def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 0) -> DataFrame:
+    """Per input row doc_id, size, source_size, target, epochs and taken (long words, repeats counted).
+
+    A null text has no words and is never taken; a null source is a source of its own, the
+    last. Repeated rows are documents of their own; rows of equal key stand by doc_id, size
+    and text. A source without words has target 0. An empty table gives no rows. Other
+    columns are ignored. No text is shuffled or written.
+    """
+    docs = pick(documents, doc_id="long", text="string", source="string")
+    rows = written(keyed(docs, seed).drop("text", "source"), "mix")
+    return plan(rows, weights, max_epochs).select("doc_id", "size", "source_size", "target", "epochs", "taken")
 
 
-def mixed_documents(documents: DataFrame, **options) -> DataFrame:
-    """The mix as document rows: one per epoch that takes the document, texts whole.
+def mixed_documents(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 0) -> DataFrame:
+    """The mix as document rows: one per epoch that takes the document, texts whole, all columns kept.
 
     The document on the edge of a source's budget is kept whole, so a source may exceed its
-    target by less than one document.
+    target by less than one document. Texts are written once with their row number and meet
+    the plan by it. Odd cases as in ``mix``.
     """
-    copies = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    held = mix(documents, carry=True, **options).withColumn("_copies", copies).filter("_copies > 0")
-    return unpacked(held.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))), documents)
+    docs = packed(documents, doc_id="long", text="string", source="string").withColumn("row", F.monotonically_increasing_id())
+    held = written(docs.select("row", "_row"), "mix")
+    small = held.select("row", *[F.col("_row")[f"_{documents.columns.index(n)}"].cast(t).alias(n) for n, t in (
+        ("doc_id", "long"), ("text", "string"), ("source", "string"))])
+    found = plan(written(keyed(small, seed).drop("text", "source"), "mix"), weights, max_epochs).filter("taken > 0")
+    copies = found.select("row", F.ceil(F.col("taken") / F.col("size")).cast("int").alias("copies"))
+    out = held.join(copies, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return unpacked(out, documents)
 
 
 #: Columns doc_id, size, source_size, target, epochs, taken of ``documents``.

@@ -20,7 +20,7 @@ def test_table_matches_sql_and_budgets(spark, sf, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got, want = both(spark, docs, tmp_path)
     assert got == sorted(want, key=str) and len(got) == 1000
-    per = m.mix(docs, carry=True).groupBy("_row._3").agg(F.sum("taken").alias("t"), F.first("target").alias("g"), F.sum("size").alias("s"))
+    per = m.mix(docs).join(docs.select("doc_id", "source"), "doc_id").groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("g"), F.sum("size").alias("s"))
     rows = per.collect()
     assert all(abs(r["t"] - r["g"]) <= 0.5 and r["g"] <= 3 * r["s"] + 1e-6 for r in rows)
     assert abs(sum(r["g"] for r in rows) - sum(r["s"] for r in rows)) < 1e-3
