@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -73,12 +74,35 @@ def raw(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [b"" if x is None else x for x in batch.column(name).cast(pa.binary()).to_pylist()]
 
 
+# Where an open ``recorded`` scope notes the folders made in it.
+_RECORDS: list[list[str]] = []
+
+
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Notes the shared folders made inside, for ``removed`` once what reads them is written."""
+    _RECORDS.append(paths)
+    try:
+        yield
+    finally:
+        _RECORDS.pop()
+
+
+def removed(spark: SparkSession, paths: list[str]) -> None:
+    while paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the shared folder that ``spark.checkpoint.dir`` names."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         raise RuntimeError("CHECKPOINT_DIR_UNSET: set spark.checkpoint.dir to a shared folder")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _RECORDS:
+        _RECORDS[-1].append(path)
+    return path
 
 
 def written(df: DataFrame, name: str = "llm") -> DataFrame:
