@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from spotweave.functions.runtime import own_checkpoint_dir
 from spotweave.llm import decontamination, quality_crf, simhash_dedup, source_mixing, token_files
-from spotweave.llm.common import table, written
+from spotweave.llm.common import recorded, removed, table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,12 +37,29 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_files.encoded(docs)
 
 
+_left: list[str] = []  # shared folders of the stage before
+
+
+def _stage(function: Callable, first: bool = False, last: bool = False) -> Callable:
+    """A stage that removes the working tables of the one before, whose result is written when this one begins."""
+    @functools.wraps(function)
+    def started(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        own_checkpoint_dir(spark)
+        if first:
+            _left.clear()  # of a pipeline that was not finished: not ours to remove
+        removed(spark, _left)
+        with recorded([] if last else _left):
+            return function(spark, docs, sf_dir)
+
+    return started
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_rules", quality_rules),
-    ("simhash_near_dedup", simhash_near_dedup),
-    ("benchmark_decontamination", benchmark_decontamination),
-    ("source_mixing", mixing),
-    ("token_id_output", token_ids),
+    ("quality_rules", _stage(quality_rules, first=True)),
+    ("simhash_near_dedup", _stage(simhash_near_dedup)),
+    ("benchmark_decontamination", _stage(benchmark_decontamination)),
+    ("source_mixing", _stage(mixing)),
+    ("token_id_output", _stage(token_ids, last=True)),
 ]
 
 #: The trained field, XXH64 and the tokenizer have no SQL; tests/llm compares with a brute-force version.
