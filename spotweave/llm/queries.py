@@ -76,3 +76,8 @@ def _(spark, d):
 @query("op10_line_dedup", run_dedup.SQL)
 def _(spark, d):
     return run_dedup.repeated_runs(table(spark, d, "documents"))
+
+
+@query("op10_repeated_lines", run_dedup.LINES_SQL)
+def _(spark, d):
+    return run_dedup.repeated_lines(table(spark, d, "documents"))
