@@ -3,8 +3,8 @@
 A unit is a line, a paragraph, or (the default) a sentence of a line, so that a passage
 pasted into another line is still found. Units are normalised, grouped by 128-bit digest,
 and the occurrence of the lowest rank (doc_id, then place) stays. Removed units that stand
-next to each other are one span with its original character offsets; a span of fewer than
-``min_words`` words is left alone.
+next to each other are one span with its original character offsets. Every span goes, however
+short; ``min_words`` is an option for callers who want to leave short ones alone.
 
 Only digests and offsets are shuffled. A digest's minimum is found with partial aggregation;
 the join back has one row per repeated digest on one side, so Spark can split a very common
@@ -23,8 +23,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from spotweave.llm.common import map_batches, packed, pick, unpacked, written
 
-# Shorter repeated spans are mostly common lines, which line dedup deals with.
-MIN_WORDS = 16
+MIN_WORDS = 1  # no bound; n_words lets a reader filter
 SEPARATORS = {"sentence": re.compile(r"\n|(?<=[.!?])[ \t]+"), "line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t]*\n\s*")}
 
 

@@ -65,3 +65,13 @@ def test_odd_rows(spark):
     assert out.columns == df.columns
     assert sorted(str(r[1]) for r in out.filter("doc_id < 6 or doc_id is null").collect()) == sorted(["None", "", "", "", "", f"{line}\n\nÄ"])
     assert m.repeats(df.limit(0)).collect() == [] and m.deduplicated(df.limit(0)).collect() == []
+
+
+def test_defaults_remove_every_repeated_unit(spark):
+    line = "one two three four five six seven eight nine"
+    rows = [(1, None), (2, ""), (None, line), (4, f"{line}\n\nÄ"), (4, f"{line}\n\nÄ"), (5, line.upper() + "  \n" + line), (6, "x. " * 50_000), (7, "New. Ä\nq"), (8, "Q")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"] or 0, r["start"], r["end"], r["n_words"], r["kept_doc_id"]) for r in m.repeats(df).collect()))
+    assert got == [(0, 0, 44, 9, 4), (4, 0, 47, 10, 4), (5, 0, 91, 18, 4), (6, 3, 149_999, 49_999, 6), (7, 5, 6, 1, 4), (8, 0, 1, 1, 7)]
+    left = sorted((str(r[1]) for r in m.deduplicated(df).filter("doc_id <> 6 or doc_id is null").collect()))
+    assert left == sorted(["None", "", "", f"{line}\n\nÄ", "", "", "New. \nq", ""])
