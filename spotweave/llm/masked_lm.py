@@ -6,7 +6,7 @@ place, squashes, and gives probabilities of word classes; a word's share in its
 from counts over all documents.
 
 Everything the model learns comes from the whole corpus: word counts of all documents, and
-masked windows from every document (each ``EVERY``-th place). Windows are dealt by document
+masked windows around every place of every document. Windows are dealt by document
 into as many shards as the corpus needs, each shard trains a copy of the network in one
 stream, and the copies are averaged, weighted by windows, in a tree; ``ROUNDS`` times. Only
 the vocabulary's counts and one network reach the driver; both sizes are parameters.
@@ -26,7 +26,7 @@ from spotweave.llm.common import alnum, pick, raw, shingle_hashes, small_batches
 
 SIDE, WIDTH, CLASSES, SINGLES = 2, 32, 64, 48
 VOCABULARY, BUCKETS = 2048, 128
-EVERY, SHARD_WINDOWS, ROUNDS = 8, 500_000, 2
+EVERY, SHARD_WINDOWS, ROUNDS = 1, 500_000, 2
 RATE, BATCH, FAN_IN, SLOTS = 0.1, 2048, 64, 64
 _COUNT_AT, _CHUNK = 1 << 21, 1 << 15
 _PLACES = [-2, -1, 1, 2]
@@ -173,12 +173,11 @@ def padded(ids: np.ndarray, pad: int) -> np.ndarray:
 
 
 def masked_windows(docs: DataFrame, words: Vocabulary, shards: int, every: int) -> DataFrame:
-    """(shard, key, windows): neighbour ids and hidden id of each ``every``-th place of every document."""
+    """(shard, key, ids): the ids of a piece of a document and ``SIDE`` more at both ends; its first and each further ``every``-th place is hidden."""
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
-        offsets = np.array([*_PLACES, 0]) + SIDE
         for batch in batches:
             shard, key, found = [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), raw(batch, "text")):
@@ -187,18 +186,17 @@ def masked_windows(docs: DataFrame, words: Vocabulary, shards: int, every: int)
                     continue
                 ids = padded(v.lookup(h), v.pad)
                 own = int(np.bitwise_xor.reduce(h * np.uint64(0x9E3779B97F4A7C15)))
-                places = np.arange(own % every, len(h), every)
-                for at in range(0, len(places), SHARD_WINDOWS // 8):  # a very long text goes to many shards
-                    some = places[at:at + SHARD_WINDOWS // 8]
+                step = SHARD_WINDOWS // 8 * every
+                for at in range(own % every, len(h), step):  # a very long text goes to many shards
                     k = hash((doc_id, own, at)) & (1 << 62) - 1
                     shard.append(k % shards)
                     key.append(k)
-                    found.append(ids[some[:, None] + offsets].astype("<u2").tobytes())
+                    found.append(ids[at:min(at + step, len(h)) + 2 * SIDE].astype("<u2").tobytes())
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), pa.array(key, pa.int64()), pa.array(found, pa.binary())],
-                                                 ["shard", "key", "windows"])
+                                                 ["shard", "key", "ids"])
 
-    return docs.mapInArrow(run, "shard long, key long, windows binary")
+    return docs.mapInArrow(run, "shard long, key long, ids binary")
 
 
 def _parts(flat: np.ndarray, shard: int, n: float) -> pa.RecordBatch:
@@ -207,13 +205,14 @@ def _parts(flat: np.ndarray, shard: int, n: float) -> pa.RecordBatch:
                                        pa.array([c.tobytes() for c in cuts], pa.binary())], ["shard", "slot", "n", "w"])
 
 
-def train_shards(windows: DataFrame, words: Vocabulary, net: Net, rate: float) -> DataFrame:
+def train_shards(windows: DataFrame, words: Vocabulary, net: Net, rate: float, every: int) -> DataFrame:
     """(shard, slot, n, w): each shard's network after one stream over its windows, in pieces."""
     shared = windows.sparkSession.sparkContext.broadcast((words, net.flat))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, flat = shared.value
-        shard, own, seen, held, n = None, None, None, [], 0
+        offsets = np.array([*_PLACES, 0]) + SIDE
+        shard, own, seen, held, n, waiting = None, None, None, [], 0, 0
 
         def step(x: np.ndarray) -> None:
             own.learn(x[:, :-1], v.kinds[x[:, -1]], seen, rate)
@@ -227,16 +226,21 @@ def train_shards(windows: DataFrame, words: Vocabulary, net: Net, rate: float) -
             held = [x[stop:]] if stop < len(x) else []
 
         for batch in batches:
-            for s, w in zip(batch.column("shard").to_pylist(), batch.column("windows").to_pylist()):
+            for s, w in zip(batch.column("shard").to_pylist(), batch.column("ids").to_pylist()):
                 if s != shard:
                     if shard is not None:
                         drain(True)
                         yield _parts(own.flat.astype(np.float64) * n, shard, n)
                     shard, own, n, held = s, Net(v.pad, v.weights, flat.copy()), 0, []
                     seen = own.fresh()
-                x = np.frombuffer(w, "<u2").reshape(-1, len(_PLACES) + 1).astype(np.int64)
+                ids = np.frombuffer(w, "<u2").astype(np.int64)
+                x = ids[np.arange(0, len(ids) - 2 * SIDE, every)[:, None] + offsets]
                 held.append(x)
                 n += len(x)
+                waiting += len(x)
+                if waiting >= _CHUNK:  # a batch of long texts is not held whole
+                    drain(False)
+                    waiting = 0
             if shard is not None:
                 drain(False)
         if shard is not None:
@@ -292,7 +296,7 @@ def train(documents: DataFrame, size: int = VOCABULARY, every: int = EVERY, roun
     shards = max(1, math.ceil(total / every / SHARD_WINDOWS))
     windows = written(masked_windows(docs, words, shards, every), "lm")
     for r in range(rounds):
-        flat = averaged(train_shards(windows, words, net, rate / (1 + r)), shards)
+        flat = averaged(train_shards(windows, words, net, rate / (1 + r), every), shards)
         if flat is not None:
             net = Net(words.pad, words.weights, flat)
     return Model(words, net.flat)

@@ -96,3 +96,21 @@ def test_odd_rows(spark):
     by = {r["doc_id"]: (r["n_words"], r["mean_log_likelihood"]) for r in got}
     assert len(got) == 6 and by[1] == (0, None) and by[2] == (0, None) and by[5][0] == 60_000 and by[4] == by[None] and by[4][1] < 0
     assert m.score(df.limit(0), m.train(df.limit(0))).collect() == []
+
+
+def test_every_place_is_trained_on(spark):
+    rows = [(i, " ".join(f"w{j % 7}" for j in range(i))) for i in range(1, 41)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words, total = m.build_vocabulary(m.count_words(docs))
+    parts = m.train_shards(m.masked_windows(docs, words, 3, m.EVERY), words, m.Net(words.pad, words.weights), 0.1, m.EVERY)
+    assert total == 820 and parts.filter("slot = 0").agg(F.sum("n")).first()[0] == 820
+
+
+def test_default_model_beats_shuffled_order_on_held_out_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = m.train(docs.filter("doc_id % 10 <> 0"))
+    rng = random.Random(0)
+    true = [r["text"].encode() for r in docs.filter("doc_id % 10 = 0 and n_chars > 1500").collect()]
+    mixed = [b" ".join(rng.sample(w, len(w))) for w in (m.alnum(t).split(b" ") for t in true)]
+    a, b = m.text_scores(model, true)[1], m.text_scores(model, mixed)[1]
+    assert len(a) > 20 and sum(x > y for x, y in zip(a, b)) / len(a) > 0.8
