@@ -3,7 +3,10 @@
 Each word is hidden in turn and predicted from ``SIDE`` words on both sides; the sum of the
 log-probabilities scores the document. The network adds a learned vector per neighbour and
 place, squashes, and gives probabilities of word classes; a word's share in its class comes
-from counts over all documents.
+from counts over all documents. Words outside the vocabulary come as hash buckets into the
+network; their share in the bucket comes from the table of all counts, which stays in Spark
+and is joined to the words of the documents. What a bucket has beyond its counted words, one
+occurrence, is the share of words never counted.
 
 Everything the model learns comes from the whole corpus: word counts of all documents, and
 masked windows around every place of every document. Windows are dealt by document
@@ -28,7 +31,7 @@ SIDE, WIDTH, CLASSES, SINGLES = 2, 32, 64, 48
 VOCABULARY, BUCKETS = 2048, 128
 EVERY, SHARD_WINDOWS, ROUNDS = 1, 500_000, 2
 RATE, BATCH, FAN_IN, SLOTS = 0.1, 2048, 64, 64
-_COUNT_AT, _CHUNK = 1 << 21, 1 << 15
+_COUNT_AT, _CHUNK, _UNIT = 1 << 21, 1 << 15, 1 << 30
 _PLACES = [-2, -1, 1, 2]
 
 
@@ -46,6 +49,7 @@ class Vocabulary:
     shares: np.ndarray  # log P(id | class)
     weights: np.ndarray  # log P(class)
     buckets: int
+    masses: np.ndarray | None = None  # occurrences in every bucket, and one for words never counted
     _table: dict = field(default_factory=dict)
 
     @property
@@ -111,7 +115,7 @@ def build_vocabulary(counts: DataFrame, size: int = VOCABULARY, buckets: int = B
     per_class = np.bincount(kinds, mass, CLASSES)
     up = np.argsort(h)
     weights = np.log(np.maximum(per_class, 1e-9) / per_class.sum())
-    return Vocabulary(h[up], up.astype(np.int64), kinds, np.log(mass / per_class[kinds]), weights, buckets), int(sum(spread.values()))
+    return Vocabulary(h[up], up.astype(np.int64), kinds, np.log(mass / per_class[kinds]), weights, buckets, rest + 1.0), int(sum(spread.values()))
 
 
 class Net:
@@ -285,13 +289,15 @@ def averaged(parts: DataFrame, shards: int) -> np.ndarray | None:
 class Model:
     words: Vocabulary
     flat: np.ndarray
+    counts: DataFrame | None = None  # (h, n) of all words; without it words outside the vocabulary are unknown
 
 
 def train(documents: DataFrame, size: int = VOCABULARY, every: int = EVERY, rounds: int = ROUNDS, rate: float = RATE) -> Model:
     """Counts and windows of all documents, then ``rounds`` of shard training and averaging. Without words: the starting weights."""
     small_batches(documents.sparkSession)
     docs = pick(documents, doc_id="long", text="string")
-    words, total = build_vocabulary(written(count_words(docs), "lm"), size)
+    counts = written(count_words(docs), "lm")
+    words, total = build_vocabulary(counts, size)
     net = Net(words.pad, words.weights)
     shards = max(1, math.ceil(total / every / SHARD_WINDOWS))
     windows = written(masked_windows(docs, words, shards, every), "lm")
@@ -299,19 +305,24 @@ def train(documents: DataFrame, size: int = VOCABULARY, every: int = EVERY, roun
         flat = averaged(train_shards(windows, words, net, rate / (1 + r), every), shards)
         if flat is not None:
             net = Net(words.pad, words.weights, flat)
-    return Model(words, net.flat)
+    return Model(words, net.flat, counts)
 
 
 def text_scores(model: Model, texts: list[bytes]) -> tuple[list[int], list[float]]:
-    """Words of each text and the sum of their conditional log-probabilities, all texts of a batch at once."""
+    """Words of each text and the sum of their conditional log-probabilities, a word outside the vocabulary as its bucket."""
+    sizes, sums = id_scores(model, [model.words.lookup(word_hashes(t)) for t in texts])
+    return sizes.tolist(), sums.tolist()
+
+
+def id_scores(model: Model, ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """``text_scores`` from the ids of the texts' words, all texts of a batch at once."""
     v, net = model.words, Net(model.words.pad, model.words.weights, model.flat)
-    hashes = [word_hashes(t) for t in texts]
-    sizes = np.array([len(h) for h in hashes])
-    sums = np.zeros(len(texts))
+    sizes = np.array([len(x) for x in ids])
+    sums = np.zeros(len(ids))
     if sizes.sum():
         # Texts follow each other with pads between, so no window reaches into another text.
-        line = np.concatenate([padded(v.lookup(h), v.pad) for h in hashes])
-        owner = np.repeat(np.arange(len(texts)), sizes)
+        line = np.concatenate([padded(x, v.pad) for x in ids])
+        owner = np.repeat(np.arange(len(ids)), sizes)
         places = np.arange(sizes.sum()) + SIDE * (2 * owner + 1)
         offsets = np.array(_PLACES)
         for a in range(0, len(places), _CHUNK):
@@ -319,8 +330,8 @@ def text_scores(model: Model, texts: list[bytes]) -> tuple[list[int], list[float
             hidden = line[p]
             _, s = net.forward(line[p[:, None] + offsets])
             got = s[np.arange(len(p)), v.kinds[hidden]].astype(np.float64) + v.shares[hidden]
-            sums += np.bincount(owner[a:a + _CHUNK], got, len(texts))
-    return sizes.tolist(), sums.tolist()
+            sums += np.bincount(owner[a:a + _CHUNK], got, len(ids))
+    return sizes, sums
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
@@ -331,16 +342,43 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     are ignored; an empty table gives no rows. Texts are read whole.
     """
     small_batches(documents.sparkSession)
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = documents.sparkSession.sparkContext.broadcast(Model(model.words, model.flat))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = shared.value.words
+        spread = np.log(v.masses)
         for batch in batches:
-            if batch.num_rows:
-                n, sums = text_scores(shared.value, raw(batch, "text"))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array([round(s, 3) for s in sums]),
-                     pa.array([round(s / k, 5) if k else None for s, k in zip(sums, n)], pa.float64())],
-                    ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"])
-
-    return pick(documents, doc_id="long", text="string").mapInArrow(
-        run, "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double")
+            if not batch.num_rows:
+                continue
+            hashes = [word_hashes(t) for t in raw(batch, "text")]
+            ids = [v.lookup(h) for h in hashes]
+            n, sums = id_scores(shared.value, ids)
+            rare, times = [], []
+            for i, (h, x) in enumerate(zip(hashes, ids)):
+                own = x >= len(v.hashes)
+                sums[i] -= spread[x[own] - len(v.hashes)].sum()
+                found, many = np.unique(h[own], return_counts=True)
+                rare.append(found.view(np.int64))
+                times.append(many)
+            cuts = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in rare])]), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sums),
+                 pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(rare), pa.int64())),
+                 pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(times), pa.int32()))],
+                ["row", "doc_id", "n_words", "total", "rare", "times"])
+
+    rows = pick(documents, doc_id="long", text="string").withColumn("row", F.monotonically_increasing_id())
+    held = written(rows.mapInArrow(
+        run, "row long, doc_id long, n_words long, total double, rare array<long>, times array<int>"), "lm")
+    found = held.select("row", "doc_id", "n_words", "total")
+    if model.counts is None:
+        total = F.col("total")
+    else:
+        # log n of a word counted once, or never, is 0. Whole numbers, so that the order of adding doesn't matter.
+        counted = model.counts.filter("n > 1").select("h", F.round(F.log("n") * _UNIT).cast("long").alias("log_n"))
+        words = held.select("row", F.inline(F.arrays_zip(F.col("rare").alias("h"), F.col("times").alias("k"))))
+        own = words.join(counted, "h").groupBy("row").agg(F.sum(F.col("k") * F.col("log_n")).alias("own"))
+        found = found.join(own, "row", "left")
+        total = F.col("total") + F.coalesce("own", F.lit(0)) / _UNIT
+    return found.select("doc_id", "n_words", F.round(total, 3).alias("log_likelihood"),
+                        F.when(F.col("n_words") > 0, F.round(total / F.col("n_words"), 5)).alias("mean_log_likelihood"))

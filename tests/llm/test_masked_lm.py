@@ -114,3 +114,36 @@ def test_default_model_beats_shuffled_order_on_held_out_texts(spark):
     mixed = [b" ".join(rng.sample(w, len(w))) for w in (m.alnum(t).split(b" ") for t in true)]
     a, b = m.text_scores(model, true)[1], m.text_scores(model, mixed)[1]
     assert len(a) > 20 and sum(x > y for x, y in zip(a, b)) / len(a) > 0.8
+
+
+def test_words_outside_the_vocabulary_have_their_own_share(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["the", "of", f"w{min(rng.randrange(60), rng.randrange(60))}"]) for _ in range(30))) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = m.train(docs, size=2)
+    v = model.words
+    n = {r["h"]: r["n"] for r in model.counts.collect()}
+    texts = [(1, rows[0][1]), (1, rows[0][1]), (2, "never1 seen1 here1 the"), (None, "w0 w0 w59 of")]
+    got = sorted(((r["doc_id"] or 0, r["log_likelihood"]) for r in m.score(spark.createDataFrame(texts, "doc_id long, text string").repartition(3), model).collect()))
+    want = []
+    for doc_id, t in texts:
+        h = m.word_hashes(t.encode())
+        ids = v.lookup(h)
+        rare = [(int(a), int(b)) for a, b in zip(h.view(np.int64), ids) if b >= len(v.hashes)]
+        own = sum(math.log(n.get(a, 1)) - math.log(v.masses[b - len(v.hashes)]) for a, b in rare)
+        want.append((doc_id or 0, m.text_scores(model, [t.encode()])[1][0] + own))
+    assert all(a[0] == b[0] and abs(a[1] - b[1]) < 2e-3 for a, b in zip(got, sorted(want), strict=True))
+    per_bucket = np.ones(v.buckets)
+    for h, k in n.items():
+        b = int(v.lookup(np.array([h]).view(np.uint64))[0]) - len(v.hashes)
+        if b >= 0:
+            per_bucket[b] += k
+    assert np.allclose(per_bucket, v.masses)  # the shares of a bucket's words and of the unknown sum to one
+
+
+def test_unseen_strings_score_below_prose(spark, trained):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("doc_id % 10 = 0 and n_chars > 1500").select("doc_id", "text")
+    junk = spark.createDataFrame([(-1, " ".join(f"zq{i}x{i * 7919 % 1009}" for i in range(400)))], "doc_id long, text string")
+    got = {r["doc_id"]: r["mean_log_likelihood"] for r in m.score(docs.unionByName(junk), trained).collect()}
+    low = got.pop(-1)
+    assert sum(x > low for x in got.values()) / len(got) > 0.9
