@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and their SQL twins."""
+"""The registered queries of the operators and their SQL twins."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spotweave.llm.common import table
 from spotweave.llm.license_scan import scan_licenses
-from spotweave.llm import decontamination, masked_lm, quality_crf, role_repair, run_dedup, source_mixing, token_files, unit_dedup
+from spotweave.llm import decontamination, hard_negatives, masked_lm, quality_crf, role_repair, run_dedup, source_mixing, token_files, unit_dedup
 from spotweave.llm.simhash_dedup import as_hex, near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,8 @@ def _(spark, d):
 @query("op10_repeated_lines", run_dedup.LINES_SQL)
 def _(spark, d):
     return run_dedup.repeated_lines(table(spark, d, "documents"))
+
+
+@query("op11_hard_negatives", hard_negatives.SQL)
+def _(spark, d):
+    return hard_negatives.mine(table(spark, d, "embeddings"), label=hard_negatives.shifted_labels())
