@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spotweave.llm.common import table
 from spotweave.llm.license_scan import scan_licenses
-from spotweave.llm import decontamination, hard_negatives, masked_lm, quality_crf, role_repair, run_dedup, source_mixing, token_files, unit_dedup
+from spotweave.llm import decontamination, hard_negatives, masked_lm, phrase_mining, quality_crf, role_repair, run_dedup, source_mixing, token_files, unit_dedup
 from spotweave.llm.simhash_dedup import as_hex, near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,8 @@ def _(spark, d):
 @query("op11_hard_negatives", hard_negatives.SQL)
 def _(spark, d):
     return hard_negatives.mine(table(spark, d, "embeddings"), label=hard_negatives.shifted_labels())
+
+
+@query("op12_phrase_mining", phrase_mining.SQL)
+def _(spark, d):
+    return phrase_mining.mine(table(spark, d, "documents"))
