@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spotweave.llm.common import table
 from spotweave.llm.license_scan import scan_licenses
-from spotweave.llm import decontamination, hard_negatives, masked_lm, phrase_mining, quality_crf, role_repair, run_dedup, source_mixing, token_files, unit_dedup
+from spotweave.llm import (
+    decontamination, hard_negatives, lexical_packing, masked_lm, phrase_mining, quality_crf, role_repair, run_dedup, source_mixing,
+    token_files, unit_dedup)
 from spotweave.llm.simhash_dedup import as_hex, near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +93,8 @@ def _(spark, d):
 @query("op12_phrase_mining", phrase_mining.SQL)
 def _(spark, d):
     return phrase_mining.mine(table(spark, d, "documents"))
+
+
+@query("op13_lexical_packing")
+def _(spark, d):
+    return lexical_packing.pack(table(spark, d, "documents"))
