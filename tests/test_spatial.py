@@ -160,3 +160,51 @@ def test_communities_find_planted_blocks_and_are_seeded(spark):
     assert q > 0.6
     again = {(r["seed"], r["id"]): r["community"] for r in cm.communities(ids, e, [(1.0, 0), (1.0, 1)]).collect()}
     assert all(again[(s, i)] == c for s, m in got.items() for i, c in m.items())
+
+
+def test_refinement_reaches_a_fixed_point_of_connected_communities(spark):
+    rng = np.random.default_rng(11)
+    rows = {}
+    for _ in range(260):  # four noisy blocks
+        x, y = rng.integers(0, 40, 2)
+        if x != y and (x // 10 == y // 10 or rng.random() < 0.25):
+            rows[min(x, y), max(x, y)] = float(rng.uniform(0.2, 1))
+    e = spark.createDataFrame([(str(a), str(b), w) for (x, y), w in rows.items() for a, b in ((x, y), (y, x))], "src string, dst string, weight double")
+    ids = spark.createDataFrame([(str(i),) for i in range(41)], "id string")  # 40 has no edge
+    labels = cm.communities(ids, e, [(1.0, 0)])
+    found = {r["id"]: r["community"] for r in labels.collect()}
+    assert len(found) == 41 and found["40"] == "40"
+    assert all(c == min(i for i in found if found[i] == c) for c in found.values())
+    assert [tuple(r)[2:] for r in cm.fixed_points(labels, e).collect()] == [(41, 0, 0)]
+    total = 2 * sum(rows.values())
+    degree = {str(i): sum(w for k, w in rows.items() if i in k) for i in range(41)}
+
+    def quality(of):
+        tot = {}
+        for i, c in of.items():
+            tot[c] = tot.get(c, 0) + degree[i]
+        return sum(2 * w for (x, y), w in rows.items() if of[str(x)] == of[str(y)]) / total - sum(t * t for t in tot.values()) / total ** 2
+
+    # Plain local moving from single nodes, one node at a time.
+    of = {i: i for i in found}
+    while True:
+        best = max(((quality({**of, i: c}), i, c) for i in of for c in set(of.values())), key=lambda x: x[0])
+        if best[0] <= quality(of) + 1e-12:
+            break
+        of[best[1]] = best[2]
+    assert quality(found) >= quality(of) - 1e-9
+    assert abs(cm.modularity(labels.withColumn("run", F.lit(0)), e).first()["modularity"] - quality(found)) < 1e-9
+
+
+def test_visits_of_clustered_points_grow_below_the_square(spark):
+    def pairs(n):
+        rng = np.random.default_rng(n)
+        plane = rng.normal(size=(2, 5))
+        v = (rng.integers(0, 4, (n, 2)) * 10 + rng.uniform(0, 5, (n, 2))) @ plane  # 16 clusters
+        df = spark.createDataFrame(pd.DataFrame({"id": range(n), "vector": [list(map(float, x)) for x in v]}))
+        homes, visits, size = nb.cell_visits(df, 5)
+        assert homes.count() == n == size.sum()
+        return sum(int(size[r["cell"]]) for r in visits.select("cell").collect())
+
+    few, many = pairs(1000), pairs(8000)
+    assert np.log(many / few) / np.log(8) < 1.75 and many < 0.1 * 8000 ** 2
