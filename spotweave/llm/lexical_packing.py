@@ -15,8 +15,11 @@ than a window: it is cut at powers of two, so nothing is padded.
 from __future__ import annotations
 
 import functools
+import gc
 import itertools
 import json
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -30,6 +33,9 @@ from spotweave.llm.token_files import pieces, tokenizer
 WINDOW, END_ID, SHARD_TOKENS = 4096, 2, 1 << 20
 SATURATION, LENGTH_SHARE = 1.2, 0.75
 MEMORY_SEGMENTS, _ENCODE_BYTES, _ENCODE_SEGMENTS = 600_000, 128 << 10, 8192
+_SIGNS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum())
+_ASCII_WORD = re.compile(rb"([!-&(-/:;=-@\[-`{-~]*)([A-Za-z]+)([!-/:-@\[-`{-~]*)")
+_SPLIT = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _SEQUENCES = 1 << 24  # sequence ids of a shard
 
@@ -43,14 +49,17 @@ class SegmentEncoder:
     """A tokenizer with a memory of what stands between ASCII white space.
 
     A tokenizer that turns white space runs into one space, splits there and drops it gives a
-    text the ids of its segments one after another. New segments are encoded together, with
-    a special token between them to tell their ids apart. The older half of a full memory goes.
-    Other tokenizers encode texts whole.
+    text the ids of its segments one after another. A new segment of letters between ASCII
+    signs has the ids of its parts: such a tokenizer splits there too. New words are encoded
+    together and told apart by their end tokens; other new segments with a special token
+    between them. The older half of a full memory goes. Other tokenizers encode texts whole.
     """
 
     def __init__(self, path: str, memory: int = MEMORY_SEGMENTS):
         self.model, self.memory = tokenizer(path), memory
         self.known: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.signs: dict[bytes, bytes] = {}
         spec = json.loads(self.model.to_str())
         added = spec.get("added_tokens") or []
         first = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
@@ -61,21 +70,63 @@ class SegmentEncoder:
                                                    and not any(c.isspace() for c in x["content"]) for x in added))
         self.special = [x["content"] for x in added]
         self.mark = added[0]["id"] if added else -1
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.by_word = bool(suffix) and _SPLIT in (first.get("pattern") or {}).get("Regex", "")
+        self.ends = np.array([bool(suffix) and (self.model.id_to_token(i) or "").endswith(suffix) for i in range(self.model.get_vocab_size())])
 
     def ids(self, text: str) -> np.ndarray:
         found = self.model.encode_batch_fast(pieces(text), add_special_tokens=False)
         return np.concatenate([np.array(x.ids, "<u4") for x in found]) if found else np.zeros(0, "<u4")
 
     def learn(self, segments: list[bytes]) -> None:
+        """Put the ids of every segment into ``known``."""
+        parts, others = [], []
+        match, add = _ASCII_WORD.fullmatch if self.by_word else lambda _: None, parts.append
+        for segment in segments:
+            # A quote before a letter may be one of the tokenizer's endings, signs around a word a special token.
+            if found := match(segment):
+                add((segment, found[1], found[2].lower(), found[3]))
+                continue
+            text = segment.decode("utf-8", "replace")
+            tail = text.rstrip(_SIGNS)
+            word = tail.lstrip(_SIGNS)
+            head = tail[:len(tail) - len(word)]
+            if self.by_word and word.isalpha() and "'" not in head and "<" not in head and _plain(word):
+                add((segment, head.encode(), word.encode(), text[len(tail):].encode()))
+            else:
+                others.append((segment, text))
+        words, signs = self.words, self.signs
+        self.learn_words(sorted({x[2] for x in parts} - words.keys()))
+        for sign in {x[1] for x in parts} | {x[3] for x in parts}:
+            if sign not in signs:
+                signs[sign] = self.ids(sign.decode()).tobytes()
+        self.known.update([(x, signs[h] + words[w] + signs[t]) for x, h, w, t in parts])
+        self.learn_segments(others)
+        forget(words, self.memory)
+        forget(signs, self.memory // 10)
+
+    def learn_words(self, words: list[bytes]) -> None:
+        """Ids of words of letters: each is one pre-token, whose last token alone ends a word."""
+        for at in range(0, len(words), _ENCODE_SEGMENTS):
+            some = words[at:at + _ENCODE_SEGMENTS]
+            ids = np.array(self.model.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(some):
+                self.words.update((w, self.ids(w.decode()).tobytes()) for w in some)
+                continue
+            data, ends = ids.tobytes(), (4 * ends).tolist()
+            self.words.update((w, data[a:b]) for w, a, b in zip(some, [0, *ends[:-1]], ends))
+
+    def learn_segments(self, segments: list[tuple[bytes, str]]) -> None:
         at = 0
         while at < len(segments):
             some, size = [], 0
             while at < len(segments) and size < _ENCODE_BYTES and len(some) < _ENCODE_SEGMENTS:
-                text = segments[at].decode("utf-8", "replace")
+                segment, text = segments[at]
                 if any(x in text for x in self.special):
-                    self.known[segments[at]] = self.ids(text).tobytes()
+                    self.known[segment] = self.ids(text).tobytes()
                 else:
-                    some.append((segments[at], text))
+                    some.append((segment, text))
                     size += len(text)
                 at += 1
             if some:
@@ -85,22 +136,41 @@ class SegmentEncoder:
                 for (segment, _), a, b in zip(some, np.append(0, ends[:-1] + 1).tolist(), ends.tolist()):
                     self.known[segment] = data[4 * a:4 * b]
 
-    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        """Ids of each whole text."""
+    def batch(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each whole text; what the batch has of new segments is learnt together."""
         if not self.by_segment:
-            yield from (self.ids(t.decode("utf-8", "replace")) for t in texts)
-            return
-        for text in texts:
-            segments = text.split()
-            try:
-                found = b"".join(map(self.known.__getitem__, segments))
-            except KeyError:
-                if len(self.known) > self.memory:
-                    for x in list(itertools.islice(self.known, len(self.known) // 2)):
-                        del self.known[x]
-                self.learn(sorted(set(segments) - self.known.keys()))
-                found = b"".join(map(self.known.__getitem__, segments))
-            yield np.frombuffer(found, "<u4")
+            return [self.ids(t.decode("utf-8", "replace")) for t in texts]
+        collecting = gc.isenabled()
+        gc.disable()  # strings and bytes hold no cycles
+        try:
+            out, at = [], 0
+            while at < len(texts):  # as many texts as the memory surely holds
+                stop, size = at, 0
+                split = []
+                while stop < len(texts) and (stop == at or size + len(texts[stop]) // 2 < self.memory):
+                    size += len(texts[stop]) // 2
+                    split.append(texts[stop].split())
+                    stop += 1
+                forget(self.known, self.memory)
+                self.learn(sorted(set().union(*split) - self.known.keys()))
+                out += [np.frombuffer(b"".join(map(self.known.__getitem__, x)), "<u4") for x in split]
+                at = stop
+            return out
+        finally:
+            if collecting:
+                gc.enable()
+
+
+def _plain(word: str) -> bool:
+    """Whether lower-casing and composing leave a word of letters one."""
+    return word.isascii() or (unicodedata.is_normalized("NFC", word) and len(word.lower()) == len(word) and word.lower().isalpha())
+
+
+def forget(known: dict, limit: int) -> None:
+    """Drops the older half of a memory beyond its limit."""
+    if len(known) > limit:
+        for x in list(itertools.islice(known, len(known) // 2)):
+            del known[x]
 
 
 @functools.cache
@@ -114,12 +184,7 @@ def tokenised(docs: DataFrame, path: str, width: int, end_id: int) -> DataFrame:
         end = np.array([end_id], f"<u{width}").tobytes()
         for batch in batches:
             texts = raw(batch, "text")
-            known = segment_encoder(path)
-            if known.by_segment:  # what a batch has of new segments is encoded together
-                new = set().union(*(t.split() for t in texts)) - known.known.keys()
-                if len(known.known) + len(new) <= known.memory:
-                    known.learn(sorted(new))
-            ids = [x.astype(f"<u{width}").tobytes() + end for x in known.encode(texts)]
+            ids = [x.astype(f"<u{width}").tobytes() + end for x in segment_encoder(path).batch(texts)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array([len(x) // width for x in ids], pa.int64()),
                                               pa.array(ids, pa.binary())], ["row", "doc_id", "n", "ids"])
 
@@ -136,8 +201,8 @@ def document_frequencies(tokens: DataFrame, size: int, width: int) -> np.ndarray
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(size, np.int64)
         for batch in batches:
-            if batch.num_rows:
-                seen += np.bincount(np.concatenate([np.unique(x[:-1]) for x in _ids(batch, width)]), minlength=size)
+            for x in _ids(batch, width):
+                seen[x[:-1]] += 1  # once for each id of the text
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["term", "df"])
 
