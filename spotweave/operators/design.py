@@ -103,6 +103,36 @@ def condition_mode(samples: DataFrame, unit: str = "animal_id", min_units: int =
         F.col("_lo").alias("minimum_units"), F.col("_hi").alias("maximum_units"))
 
 
+def resolve_condition_mode(samples: DataFrame, mode: str = "auto", requested: bool = True, min_samples: int = 3,
+                           levels: tuple | None = None) -> str:
+    """The mode an analysis runs in.
+
+    An explicit mode is taken as it is. ``auto`` counts the samples of the four cells: one
+    each is descriptive, ``min_samples`` or more each is replicated. Anything else, and a
+    sheet without the columns or levels, raises DESIGN_NOT_ELIGIBLE where the condition
+    analysis is requested, and is descriptive where it is not.
+    """
+    if mode in ("descriptive", "replicated"):
+        return mode
+    if mode != "auto":
+        raise ContractError("CONDITION_MODE_UNKNOWN", mode)
+    known = {"genotype", "treatment"} <= set(samples.columns) and bool(levels) and all(str(x or "").strip() for x in levels)
+    if not known:
+        if requested:
+            raise ContractError("DESIGN_NOT_ELIGIBLE", "genotype and treatment columns and their levels are needed")
+        return "descriptive"
+    g0, g1, t0, t1 = map(str, levels)
+    counts = list(samples.agg(*[F.count_if((F.col("genotype") == g) & (F.col("treatment") == t)).alias(f"{g}|{t}")
+                                for g in (g0, g1) for t in (t0, t1)]).first())
+    if counts == [1, 1, 1, 1]:
+        return "descriptive"
+    if min(counts) >= min_samples:
+        return "replicated"
+    if requested:
+        raise ContractError("DESIGN_NOT_ELIGIBLE", f"samples per cell: {counts}")
+    return "descriptive"
+
+
 def check_biological_units(samples: DataFrame, unit: str = "animal_id", batch: str | None = None,
                            min_units: int = 3) -> DataFrame:
     """Gate of the replicated fit; returns samples with ``biological_unit_id`` and ``model_batch``."""
@@ -182,7 +212,12 @@ def confounding_audit(spots: DataFrame) -> DataFrame:
     enforce(duplicate_keys(n_by.select("sample_id"), ["sample_id"]), "SAMPLE_METADATA_NOT_CONSTANT")
     total = n_by.agg(F.sum("n_spots")).first()[0]
     unit, batch = coded_column(n_by, REPLICATE_COLUMNS), coded_column(n_by, BATCH_COLUMNS)
-    status = integration_eligibility(n_by)
+    status, aliases = integration_eligibility(n_by), False
+    if batch:
+        # A batch of one level, or of one sample each, can't be told from the samples.
+        aliases = bool(one_to_one(n_by, "sample_id", batch).first()[0])
+        if aliases or n_by.agg(F.count_distinct(batch)).first()[0] < 2:
+            status = "not_eligible"
     cond_n = n_by.groupBy("condition").agg(F.count(F.lit(1)).alias("n_samples_in_condition"))
     cell_n = n_by.groupBy("genotype", "treatment").agg(
         F.count(F.lit(1)).alias("n_samples_in_genotype_treatment_cell"))
@@ -198,8 +233,11 @@ def confounding_audit(spots: DataFrame) -> DataFrame:
         F.lit(confounded).alias("condition_confounded_with_sample_id"),
         F.lit(unit or "").alias("biological_replicate_column"),
         (F.col(unit) if unit else empty).alias("biological_replicate_value"),
+        F.lit("provided" if unit else "unknown_not_provided").alias("biological_replicate_status"),
         F.lit(batch or "").alias("technical_batch_column"),
         (F.col(batch) if batch else empty).alias("technical_batch_value"),
+        F.lit("provided" if batch else "unknown_or_incomplete").alias("technical_batch_status"),
+        F.lit(aliases).alias("batch_aliases_sample_id"), F.lit(False).alias("sample_id_as_batch_allowed"),
         F.lit(status).alias("integration_status"))
 
 

@@ -8,6 +8,7 @@ from spotweave.functions.exprs import mitochondrial
 from spotweave.functions.ordering import exact_quantiles, row_rank
 from spotweave.functions.runtime import durable
 from spotweave.functions.stats import distribution
+from spotweave.operators.contracts import enforce
 
 KEY = ["sample_id", "barcode"]
 
@@ -31,7 +32,8 @@ def count_metrics(counts: DataFrame, genes: DataFrame | None = None, prefixes=("
 
 
 def spot_qc(spots: DataFrame, counts: DataFrame, genes: DataFrame, prefixes=("MT-",),
-            total_enabled: bool = True, mito_enabled: bool = True) -> DataFrame:
+            total_enabled: bool = True, mito_enabled: bool = True, tissue_enabled: bool = True,
+            detected_enabled: bool = True) -> DataFrame:
     """Totals per place; places without counts stay with 0.
 
     A disabled metric, or the mitochondrial share without matching features, is
@@ -45,12 +47,40 @@ def spot_qc(spots: DataFrame, counts: DataFrame, genes: DataFrame, prefixes=("MT
     out = out.withColumn("pct_counts_mt", F.when(
         F.col("total_counts") > 0, F.col("total_counts_mt") * 100.0 / F.col("total_counts")))
     off = ([] if mito_enabled else ["total_counts_mt", "pct_counts_mt"]) + (
-        [] if total_enabled else ["total_counts"])
+        [] if total_enabled else ["total_counts"]) + ([] if detected_enabled else ["n_genes_by_counts"])
+    if not tissue_enabled and "in_tissue" in out.columns:
+        off.append("in_tissue")
     for c in off:
         out = out.withColumn(c, F.lit(None).cast(out.schema[c].dataType))
     return out.drop("nnz")
 
 
+def metric_status(spots: DataFrame, genes: DataFrame, prefixes=("MT-",), tissue_enabled: bool = True, total_enabled: bool = True,
+                  detected_enabled: bool = True, mito_enabled: bool = True) -> DataFrame:
+    """Metric, requested, status and reason of the four switches of ``spot_qc``.
+
+    A requested metric is not available without its source: a tissue column, or a gene that
+    matches a mitochondrial prefix. Raises TISSUE_LABELS_INCOMPLETE where the column has gaps
+    or values other than 0 and 1.
+    """
+    tissue = "in_tissue" in spots.columns
+    if tissue_enabled and tissue:
+        bad = spots.filter(F.col("in_tissue").isNull() | ~F.col("in_tissue").isin(0, 1))
+        enforce(bad.select(*KEY), "TISSUE_LABELS_INCOMPLETE")
+    found = genes.agg(F.count_if(mitochondrial(F.col("gene_symbol"), prefixes)).alias("n"))
+
+    def entry(metric: str, requested: bool, have, lack: str):
+        on = F.lit(have) if isinstance(have, bool) else have
+        status = F.when(~F.lit(requested), "disabled").when(on, "computed").otherwise("not_available")
+        reason = F.when(~F.lit(requested), "switched_off").when(on, "source_present").otherwise(lack)
+        return F.struct(F.lit(metric).alias("metric"), F.lit(requested).alias("requested"), status.alias("status"), reason.alias("reason"))
+
+    return found.select(F.explode(F.array(
+        entry("in_tissue", tissue_enabled, tissue, "no_tissue_column"), entry("total_counts", total_enabled, True, ""),
+        entry("detected_genes", detected_enabled, True, ""),
+        entry("mitochondrial_fraction", mito_enabled, F.col("n") > 0, "no_mitochondrial_features"))).alias("e")).select("e.*")
+
+
 def capture_area(positions: DataFrame) -> DataFrame:
     """Places, labelled, in and out of tissue, share in tissue of the labelled."""
     n_in, n_lab = F.count_if(F.col("in_tissue") == 1), F.count("in_tissue")

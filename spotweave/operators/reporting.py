@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from spotweave.functions.exprs import step_id
-from spotweave.functions.ordering import previous_row
+from spotweave.functions.exprs import glob_to_regex, step_id
+from spotweave.functions.ordering import previous_row, top_n
 from spotweave.operators.contracts import duplicate_keys, enforce
 
 FIELDS = ("cpu_percent", "rss_gib", "vms_gib", "project_gib")
@@ -86,6 +86,12 @@ REPORTED_STATES = (
 )
 
 
+def matching_artifacts(artifacts: DataFrame, module: str, pattern: str, max_items: int | None = None) -> DataFrame:
+    """Artifacts (module, path) of one module whose path matches a glob, the first ones by path if bounded."""
+    hits = artifacts.filter((F.col("module") == module) & F.col("path").rlike(glob_to_regex(pattern)))
+    return hits if max_items is None else top_n(hits, ["module"], [F.col("path").asc()], max_items, "_rank").drop("_rank")
+
+
 def module_completion(modules: DataFrame, sidecars: DataFrame, summaries: DataFrame,
                       qc_states: DataFrame) -> DataFrame:
     """Completion status per module, strongest evidence first.

@@ -46,6 +46,24 @@ def _(spark, d):
         "observation_id", "total_counts", "n_genes_by_counts", "total_counts_mt", "pct_counts_mt")
 
 
+@query("a02_metric_status", """
+with m as (select count(*) filter (upper(gene_symbol) like 'RED %') > 0 as mito, count(*) filter (upper(gene_symbol) like 'NO SUCH %') > 0 as none from v_genes),
+s(switches, in_tissue, total_counts, detected_genes, mitochondrial_fraction) as (
+  values ('all', true, true, true, true), ('few', false, true, false, true), ('lacking', true, false, true, true)),
+u as (select switches, unnest([{'m': 'in_tissue', 'r': in_tissue, 'h': switches <> 'lacking', 'l': 'no_tissue_column'},
+  {'m': 'total_counts', 'r': total_counts, 'h': true, 'l': ''}, {'m': 'detected_genes', 'r': detected_genes, 'h': true, 'l': ''},
+  {'m': 'mitochondrial_fraction', 'r': mitochondrial_fraction, 'h': case when switches = 'lacking' then none else mito end,
+   'l': 'no_mitochondrial_features'}]) as u from s, m)
+select switches, u.m as metric, u.r as requested, case when not u.r then 'disabled' when u.h then 'computed' else 'not_available' end as status,
+  case when not u.r then 'switched_off' when u.h then 'source_present' else u.l end as reason from u
+""")
+def _(spark, d):
+    p, g = v.positions(spark, d).filter("in_tissue is not null"), v.genes(spark, d)
+    return qc.metric_status(p, g, v.MITO_PREFIXES).withColumn("switches", F.lit("all")).unionByName(
+        qc.metric_status(p, g, v.MITO_PREFIXES, tissue_enabled=False, detected_enabled=False).withColumn("switches", F.lit("few"))).unionByName(
+        qc.metric_status(p.drop("in_tissue"), g, ("NO SUCH ",), total_enabled=False).withColumn("switches", F.lit("lacking")))
+
+
 @query("a03_capture_area",
        "select sample_id, count(*) as n_positions, count(in_tissue) as n_labeled, count(*) filter (in_tissue = 1) as "
        "n_in_tissue, count(*) filter (in_tissue = 0) as n_out_of_tissue, "
@@ -376,6 +394,20 @@ def _(spark, d):
     return design.condition_mode(design.assign_design_cells(v.samples(spark, d), "G0", "G1", "T0", "T1"))
 
 
+@query("a21_resolved_modes", """
+with n as (select genotype, treatment, count(*) as n from v_samples group by 1, 2), c as (select count(*) as cells, min(n) as lo from n)
+select unnest(['auto', 'one_each', 'explicit', 'unrequested']) as case_name,
+  unnest([case when cells = 4 and lo >= 3 then 'replicated' else 'descriptive' end, 'descriptive', 'replicated', 'descriptive']) as condition_mode from c
+""")
+def _(spark, d):
+    levels, s = ("G0", "G1", "T0", "T1"), v.samples(spark, d)
+    found = {"auto": design.resolve_condition_mode(s, levels=levels, requested=False),
+             "one_each": design.resolve_condition_mode(v.samples4(spark, d), levels=levels),
+             "explicit": design.resolve_condition_mode(v.samples4(spark, d), "replicated"),
+             "unrequested": design.resolve_condition_mode(s.drop("genotype"), requested=False, levels=levels)}
+    return spark.createDataFrame(list(found.items()), "case_name string, condition_mode string")
+
+
 def _summary_sql(metrics, funcs):
     parts = []
     for m in metrics:
@@ -444,13 +476,31 @@ select sample_id, genotype, treatment, condition, n_spots, round(n_spots / sum(n
   count(*) over (partition by condition) as n_samples_in_condition, false as condition_cell_n_equals_one,
   false as condition_confounded_with_sample_id, 'animal_id' as biological_replicate_column,
   animal_id as biological_replicate_value, 'technical_batch' as technical_batch_column,
-  technical_batch as technical_batch_value, 'not_requested' as integration_status from n
+  technical_batch as technical_batch_value, 'not_requested' as integration_status, 'provided' as biological_replicate_status,
+  'provided' as technical_batch_status, false as batch_aliases_sample_id, false as sample_id_as_batch_allowed from n
 """)
 def _(spark, d):
     spots = v.positions(spark, d).select("sample_id").join(v.samples(spark, d), "sample_id")
     return rounded(design.confounding_audit(spots), "spot_fraction")
 
 
+@query("a26_batch_statuses", """
+select unnest(['aliases', 'one_level', 'absent']) as batch, count(distinct sample_id) as n_samples, 'not_eligible' as integration_status,
+  unnest(['provided', 'provided', 'unknown_or_incomplete']) as technical_batch_status, unnest([true, false, false]) as batch_aliases_sample_id
+from v_positions join v_samples using (sample_id)
+""")
+def _(spark, d):
+    spots = v.positions(spark, d).select("sample_id").join(v.samples(spark, d), "sample_id")
+    cases = {"aliases": spots.withColumn("technical_batch", F.concat(F.lit("B"), "sample_id")),
+             "one_level": spots.withColumn("technical_batch", F.lit("B")), "absent": spots.drop("technical_batch")}
+    out = None
+    for name, case in cases.items():
+        found = design.confounding_audit(case).groupBy("integration_status", "technical_batch_status", "batch_aliases_sample_id").agg(
+            F.count(F.lit(1)).alias("n_samples")).withColumn("batch", F.lit(name))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 COMPONENT_SQL = """
 with area as (select sample_id, count(*) as np, count(in_tissue) as nl, count(in_tissue) filter (in_primary_matrix) as nd,
   count(*) filter (in_primary_matrix) as ns, quantile_cont(total_counts::double, 0.5) as tc,

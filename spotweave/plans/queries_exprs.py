@@ -355,3 +355,13 @@ def _(spark, d):
         F.lit("results/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".tsv")).alias("path"))
     hits = p.filter(F.col("path").rlike(e.glob_to_regex("results/src1*/*5.tsv")))
     return top_n(hits, ["source"], [F.col("doc_id").asc()], 20, "rn").select("path")
+
+
+@query("p29_module_artifacts",
+       "select source as module, path from (select source, 'results/' || source || '/' || doc_id || '.tsv' as path, row_number() over "
+       "(order by 'results/' || source || '/' || doc_id || '.tsv') as rn from documents where source = 'src1' and doc_id::varchar like '%1') where rn <= 20")
+def _(spark, d):
+    from spotweave.operators.reporting import matching_artifacts
+    p = v.table(spark, d, "documents").select(F.col("source").alias("module"), F.concat(
+        F.lit("results/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".tsv")).alias("path"))
+    return matching_artifacts(p, "src1", "results/src1/*[!2-9].tsv", 20)

@@ -80,7 +80,7 @@ def _(spark, d):
     return r.mitochondrial_feature_count(v.genes(spark, d), v.MITO_PREFIXES)
 
 
-@query("s08_capabilities", """
+CAPABILITY_SQL = """
 with e as (
   select sample_id, count(*) as n_positions, count(*) filter (in_tissue is null) as missing_in_tissue,
     count(*) filter (array_row is null or array_col is null) as missing_array,
@@ -115,8 +115,10 @@ from (select sample_id, unnest([
   {'kind': 'qc_metric', 'name': 'image_alignment', 'ok': hist, 'part': false},
   {'kind': 'qc_metric', 'name': 'spatial_artifacts', 'ok': counts and missing_array = 0 and hist,
    'part': counts and missing_array = 0}]) as x from f)
-""")
-def _(spark, d):
+"""
+
+
+def capability_evidence(spark, d):
     p = v.positions(spark, d)
 
     def missing(a, b):
@@ -135,7 +137,38 @@ def _(spark, d):
     mito = r.mitochondrial_feature_count(v.genes(spark, d), v.MITO_PREFIXES).first()[0]
     e = e.join(c, "sample_id", "left").fillna({"n_filtered_counts": 0}).withColumn(
         "n_raw_counts", F.col("n_filtered_counts")).withColumn("n_mitochondrial", F.lit(mito))
-    return r.capabilities(e)
+    return e
+
+
+@query("s08_capabilities", CAPABILITY_SQL)
+def _(spark, d):
+    return r.capabilities(capability_evidence(spark, d))
+
+
+_GROUNDS_SQL = ", ".join(f"('{k}', '{n}', '{text}', '{','.join(sources)}')" for (k, n), (text, sources) in r.CAPABILITY_GROUNDS.items())
+
+
+@query("s08_capability_reasons", f"""
+with s as ({CAPABILITY_SQL}), g(kind, name, grounds, sources) as (values {_GROUNDS_SQL}),
+e as (select sample_id, unnest(case when count(*) filter (roi_label = '1-URGENT') > 0
+    then [{{'k': 'positions', 'p': 'b/' || sample_id || '.csv'}}, {{'k': 'images', 'p': 'a/' || sample_id || '.png'}}, {{'k': 'images', 'p': 'b/' || sample_id || '.csv'}}]
+    else [{{'k': 'positions', 'p': 'b/' || sample_id || '.csv'}}] end) as e from v_positions group by sample_id),
+p as (select g.kind, g.name, sample_id, string_agg(distinct e.p, ';' order by e.p) as evidence
+    from g join e on list_contains(string_split(sources, ','), e.k) group by all)
+select s.sample_id, s.kind, s.name, s.status,
+  case when s.kind = 'capability' then null when s.name = 'image_alignment' then 'visual_review' when s.name = 'spatial_artifacts' then 'hybrid'
+    else 'automatic' end as mode,
+  case s.status when 'available' then 'present: ' || grounds when 'partial' then 'present: count matrix, array coordinates; absent: registered image'
+    else 'absent or incomplete: ' || grounds end as reason, coalesce(evidence, '') as evidence
+from s join g using (kind, name) left join p using (kind, name, sample_id)
+""")
+def _(spark, d):
+    places = F.array(F.concat(F.lit("b/"), "sample_id", F.lit(".csv")))
+    # The images list names the positions file too: a path stands once in an entry's evidence.
+    images = F.concat(F.array(F.concat(F.lit("a/"), "sample_id", F.lit(".png"))), places)
+    e = capability_evidence(spark, d).withColumn("paths", F.create_map(
+        F.lit("positions"), places, F.lit("images"), F.when(F.col("n_images") > 0, images).otherwise(F.array().cast("array<string>"))))
+    return r.explained_capabilities(e)
 
 
 @query("s09_roi_csv",
@@ -172,6 +205,11 @@ def _(spark, d):
     return r.alias_audit(r.read_aliases(spark, _tsv(region_aliases(spark, d), "alias")))
 
 
+@query("s11_review_rows", f"select * from ({_ALIAS_SQL}) where status like '%review%'")
+def _(spark, d):
+    return r.review_required(r.read_aliases(spark, _tsv(region_aliases(spark, d), "alias")))
+
+
 def gmt_folder(spark, d):
     """One GMT line per term; gene order is by id, with one repeat that must be dropped."""
     genes = F.array_sort(F.collect_set("gene"))
@@ -315,6 +353,52 @@ def _(spark, d):
                           {"Total": "n_spots", "Hi": "max_balance", "Lo": "min_balance"})
 
 
+# Barcodes of sixteen letters from the order key's digits; finished orders have no valid one.
+_CODE = "translate(lpad(k::varchar, 16, '0'), '0123456789', 'ACGTNACGTN')"
+
+
+def _cluster_source(spark, d):
+    key = F.col("o_orderkey").cast("string")
+    code = F.translate(F.lpad(key, 16, "0"), "0123456789", "ACGTNACGTN")
+    return v.table(spark, d, "orders").select(
+        F.when(F.col("o_orderstatus") == "F", F.concat(code, F.lit("-0"))).otherwise(F.concat(code, F.lit("-1"))).alias("Barcode"),
+        v.sample_of(F.col("o_orderkey")).alias("sampleid"), F.col("o_orderpriority").alias("clusters"), key.alias("id"))
+
+
+@query("s18_cluster_csv", f"""
+with c as (select o_orderkey as k, o_orderstatus as st, o_orderpriority as cl from orders)
+select {_CODE} || case when st = 'F' then '-0' else '-1' end as source_identifier, 'S' || (k % 25) as sample_id, cl as reference_cluster,
+  {_CODE} || case when st = 'F' then '-0' else '-1' end as barcode, case when st <> 'F' then {_CODE} end as barcode_core, st <> 'F' as identifier_valid from c
+""")
+def _(spark, d):
+    return r.read_cluster_csv(spark, _tsv(_cluster_source(spark, d).drop("id"), "clusters", ","))
+
+
+@query("s18_cluster_parquet", """
+select 'O' || o_orderkey as source_identifier, o_orderpriority as reference_cluster, case when o_orderstatus <> 'P' then 'S' || (o_orderkey % 25) end as sample_id,
+  case when o_orderstatus <> 'P' then o_orderkey::varchar end as barcode, case when o_orderstatus <> 'P' then o_orderstatus = 'O' else false end as identifier_valid
+from orders
+""")
+def _(spark, d):
+    o = v.table(spark, d, "orders").withColumn("source_identifier", F.concat(F.lit("O"), F.col("o_orderkey").cast("string")))
+    path = scratch_path(spark, "clusters")
+    o.select("source_identifier", F.col("o_orderpriority").alias("leiden")).write.parquet(path)
+    spots = o.filter("o_orderstatus <> 'P'").select(
+        "source_identifier", v.sample_of(F.col("o_orderkey")).alias("sample_id"), F.col("o_orderkey").cast("string").alias("barcode"),
+        (F.col("o_orderstatus") == "O").alias("identifier_valid"))
+    return r.read_cluster_parquet(spark, path, spots)
+
+
+@query("s19_parsed_identifiers", """
+select sample_id, case when label_c <> 'P' then barcode end as barcode, label_b as label,
+  sample_id || case when label_c = 'P' then ':' else '::' end || barcode as source_identifier, label_c <> 'P' as identifier_valid from v_clusters
+""")
+def _(spark, d):
+    c = v.clusters(spark, d)
+    joint = F.when(F.col("label_c") == "P", ":").otherwise("::")
+    return r.parsed_identifiers(c.withColumn("spot_id", F.concat("sample_id", joint, "barcode")), label="label_b")
+
+
 @query("s19_label_scan",
        "select case when label_c = 'P' then ' ' else sample_id end as sample_id, barcode, label_b as label, "
        "case when label_c = 'P' then ' ' else sample_id end || '::' || barcode as source_identifier, "

@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from spotweave.functions.exprs import mitochondrial, parse_boolean
+from spotweave.functions.exprs import barcode_core_strict, mitochondrial, parse_boolean
 from spotweave.functions.ordering import row_rank
 from spotweave.operators.contracts import (
     ContractError, checksum_mismatch, duplicate_keys, enforce, require_columns)
@@ -174,6 +174,53 @@ def mitochondrial_feature_count(features: DataFrame, prefixes=("MT-",), case_sen
         mitochondrial(F.col("gene_symbol"), prefixes, case_sensitive)).alias("n_mitochondrial"))
 
 
+#: What a capability or metric rests on, in words for a reader, and the evidence that shows it.
+CAPABILITY_GROUNDS = {
+    ("capability", "raw_counts_matrix"): ("raw barcode matrix", ("raw_matrix",)),
+    ("capability", "filtered_counts_matrix"): ("filtered barcode matrix", ("filtered_matrix",)),
+    ("capability", "array_coordinates"): ("complete array coordinates", ("positions",)),
+    ("capability", "pixel_coordinates"): ("complete pixel coordinates", ("positions",)),
+    ("capability", "in_tissue_labels"): ("complete tissue labels", ("positions",)),
+    ("capability", "histology_image"): ("histology image", ("images",)),
+    ("capability", "registered_histology"): ("registered image, pixel coordinates and scale factors", ("images", "positions", "scalefactors")),
+    ("capability", "upstream_metrics"): ("upstream summary metrics", ("metrics_summary",)),
+    ("capability", "molecule_level_data"): ("molecule file", ("molecule_info",)),
+    ("capability", "mitochondrial_features"): ("mitochondrial feature names", ("features",)),
+    ("capability", "raw_reads"): ("read files", ("reads",)),
+    ("qc_metric", "in_tissue"): ("complete tissue labels", ("positions",)),
+    ("qc_metric", "total_counts"): ("count matrix", ("raw_matrix", "filtered_matrix")),
+    ("qc_metric", "detected_genes"): ("count matrix", ("raw_matrix", "filtered_matrix")),
+    ("qc_metric", "mitochondrial_fraction"): ("count matrix and mitochondrial feature names", ("raw_matrix", "filtered_matrix", "features")),
+    ("qc_metric", "image_alignment"): ("registered image, pixel coordinates and scale factors", ("images", "positions")),
+    ("qc_metric", "spatial_artifacts"): ("count matrix, array coordinates and registered image",
+                                         ("raw_matrix", "filtered_matrix", "positions", "images")),
+}
+# How a metric is judged where that is not automatic.
+METRIC_MODES = {"image_alignment": "visual_review", "spatial_artifacts": "hybrid"}
+
+
+def explained_capabilities(evidence: DataFrame) -> DataFrame:
+    """S08 with its grounds: ``capabilities`` and mode, reason and evidence of every entry.
+
+    ``paths`` (map from kind of evidence to paths) is optional in the evidence; a capability
+    has no mode. Evidence is the sorted distinct paths of what the entry rests on.
+    """
+    paths = F.col("paths") if "paths" in evidence.columns else F.lit(None).cast("map<string,array<string>>")
+    none = F.array().cast("array<string>")
+    grounds = F.explode(F.array(*[F.struct(
+        F.lit(k).alias("kind"), F.lit(n).alias("name"), F.lit(text).alias("grounds"),
+        F.lit("automatic" if n not in METRIC_MODES else METRIC_MODES[n]).alias("mode"),
+        F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.concat(*[
+            F.coalesce(F.try_element_at(paths, F.lit(s)), none) for s in sources])))), ";").alias("evidence"))
+        for (k, n), (text, sources) in CAPABILITY_GROUNDS.items()])).alias("g")
+    known = evidence.select("sample_id", grounds).select("sample_id", "g.*")
+    reason = F.when(F.col("status") == "available", F.concat(F.lit("present: "), "grounds")).when(
+        F.col("status") == "partial", "present: count matrix, array coordinates; absent: registered image").otherwise(
+        F.concat(F.lit("absent or incomplete: "), "grounds"))
+    return capabilities(evidence).join(known, ["sample_id", "kind", "name"]).select(
+        "sample_id", "kind", "name", "status", F.when(F.col("kind") == "qc_metric", F.col("mode")).alias("mode"), reason.alias("reason"), "evidence")
+
+
 def capabilities(evidence: DataFrame) -> DataFrame:
     """Eleven capabilities and six metric statuses from one evidence row per sample.
 
@@ -257,6 +304,11 @@ def alias_audit(aliases: DataFrame) -> DataFrame:
         "review_required", F.lower("status").contains("review"))
 
 
+def review_required(aliases: DataFrame) -> DataFrame:
+    """The alias rows whose status asks for review."""
+    return aliases.filter(F.lower("status").contains("review"))
+
+
 def read_gmt(spark: SparkSession, path: str, library_id: str) -> DataFrame:
     """Term, description and ordered distinct genes per line."""
     lines = spark.read.option("recursiveFileLookup", True).text(path)
@@ -365,6 +417,44 @@ def wide_to_long(df: DataFrame, key: list[str], metrics: dict[str, str]) -> Data
     return df.select(*key, F.explode(items).alias("_m")).select(*key, "_m.metric", "_m.value")
 
 
+def read_cluster_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Cluster labels of another pipeline: Barcode, sampleid, clusters; the barcode core decides validity."""
+    df = read_text_table(spark, path, sep=",")
+    require_columns(df, ["Barcode", "sampleid", "clusters"], "reference clusters")
+    core = barcode_core_strict(F.col("Barcode"))
+    return df.select(
+        F.col("Barcode").alias("source_identifier"), F.col("sampleid").alias("sample_id"), F.col("clusters").alias("reference_cluster"),
+        F.col("Barcode").alias("barcode"), core.alias("barcode_core"), core.isNotNull().alias("identifier_valid"))
+
+
+def read_cluster_parquet(spark: SparkSession, path: str, spots: DataFrame, identifier: str = "source_identifier") -> DataFrame:
+    """Cluster labels of another pipeline: one label column beside the identifier.
+
+    Sample, barcode and validity come from ``spots`` by identifier; a label without a spot is
+    invalid. Raises CLUSTER_IDENTIFIER_DUPLICATE where an identifier stands twice on either side.
+    """
+    df = spark.read.parquet(path)
+    require_columns(df, [identifier], "reference clusters")
+    labels = [c for c in df.columns if c != identifier]
+    if len(labels) != 1:
+        raise ContractError("CLUSTER_COLUMNS", f"one label column is needed, found {sorted(labels)}")
+    found = df.select(F.col(identifier).cast("string").alias("source_identifier"), F.col(labels[0]).cast("string").alias("reference_cluster"))
+    known = spots.select("source_identifier", "sample_id", "barcode", "identifier_valid")
+    for side in (found, known):
+        enforce(duplicate_keys(side, ["source_identifier"]), "CLUSTER_IDENTIFIER_DUPLICATE")
+    return found.join(known, "source_identifier", "left").withColumn("identifier_valid", F.coalesce("identifier_valid", F.lit(False)))
+
+
+def parsed_identifiers(df: DataFrame, identifier: str = "spot_id", label: str = "expression_cluster") -> DataFrame:
+    """Spot identifiers ``sample::barcode`` taken apart; one without its sample's prefix is invalid and has no barcode."""
+    require_columns(df, [identifier, "sample_id", label], "current spots")
+    prefix = F.concat("sample_id", F.lit("::"))
+    ok = F.coalesce(F.col(identifier).startswith(prefix), F.lit(False))
+    return df.select(
+        "sample_id", F.when(ok, F.expr(f"substr({identifier}, length(sample_id) + 3)")).alias("barcode"), F.col(label).alias("label"),
+        F.col(identifier).alias("source_identifier"), ok.alias("identifier_valid"))
+
+
 def label_with_validity(df: DataFrame, label: str) -> DataFrame:
     """Labels keyed by sample and barcode with a validity flag."""
     ok = (F.coalesce(F.trim("sample_id") != "", F.lit(False))
