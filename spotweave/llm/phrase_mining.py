@@ -14,16 +14,18 @@ share one (another seed is taken otherwise), so keys of k hashes are exact.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from spotweave.llm.common import pick, small_batches, written
 
 LEAST, LONGEST, FIRST, COVER = 10, 3, 2000, 50
-BLOCK_CODES, BITMAP_BITS, GROUP_ROWS = 1 << 20, 26, 100_000
+BLOCK_CODES, BITMAP_BITS, GROUP_ROWS = 1 << 18, 26, 100_000
+_SLOT = 13  # 64-bit words of a piece of the bitmap, as a power of two
 _UPPER = bytes(range(0x41, 0x5B))
 _TABLE = bytes.maketrans(_UPPER + b".,;:!?\x0b\x0c\r\t", _UPPER.lower() + b"\n" * 9 + b" ")
 RELATION = "langs array<string>, words array<string>, hashes array<long>, counts array<long>, codes binary"
@@ -123,10 +125,22 @@ def bitmap(frequent: DataFrame, length: int) -> np.ndarray:
                 bits = np.left_shift(np.uint64(1), (at & 63).astype(np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(bits)], ["at", "bits"])
 
-    parts = frequent.select(*names).mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
-    bits = np.zeros(1 << width - 6, np.uint64)
-    bits[parts["at"].to_numpy(np.int64)] = parts["bits"].to_numpy(np.int64).view(np.uint64)
-    return bits
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at, bits = batch.column("at").to_numpy(), batch.column("bits").to_numpy().view(np.uint64)
+            for slot in np.unique(at >> _SLOT).tolist():
+                mine = at >> _SLOT == slot
+                slots.setdefault(slot, np.zeros(1 << _SLOT, np.uint64))[at[mine] & (1 << _SLOT) - 1] = bits[mine]
+        if slots:
+            yield pa.RecordBatch.from_arrays([pa.array(list(slots), pa.int64()), pa.array([x.tobytes() for x in slots.values()], pa.binary())], ["slot", "bits"])
+
+    words = frequent.select(*names).mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    parts = words.repartition(F.shiftright("at", _SLOT)).mapInArrow(gathered, "slot long, bits binary").collect()
+    bits = np.zeros(1 << max(width - 6, _SLOT), np.uint64)
+    for r in parts:
+        bits[r["slot"] << _SLOT:r["slot"] + 1 << _SLOT] = np.frombuffer(r["bits"], np.uint64)
+    return bits[:1 << width - 6]
 
 
 def _holds(bits: np.ndarray, keys: list[np.ndarray]) -> np.ndarray:
@@ -134,8 +148,8 @@ def _holds(bits: np.ndarray, keys: list[np.ndarray]) -> np.ndarray:
     return (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
-def grouped(codes: np.ndarray, n_words: int, length: int, allowed: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Merge join by adjacent position: (group of every place or -1, codes of the groups, their counts).
+def grouped(codes: np.ndarray, n_words: int, length: int, allowed: np.ndarray, of_places: bool = True):
+    """Merge join by adjacent position: (group of every place or -1, if wanted; codes of the groups; their counts).
 
     A place begins a phrase of ``length`` words when none of them is a break and all are allowed.
     """
@@ -150,6 +164,9 @@ def grouped(codes: np.ndarray, n_words: int, length: int, allowed: np.ndarray) -
             key = np.unique(key, return_inverse=True)[1]
         members.append(codes[places + k])
         key = key * (n_words + 1) + members[-1]
+    if not of_places:
+        _, first, counts = np.unique(key, return_index=True, return_counts=True)
+        return None, [x[first] for x in members], counts
     _, first, inverse, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
     of = np.full(len(codes), -1)
     of[places] = inverse
@@ -184,7 +201,7 @@ def extended(relation: DataFrame, length: int, words: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for hashes, codes in _blocks(batches):
             allowed = np.append(False, _holds(shared.value, [hashes]))
-            _, members, counts = grouped(codes, len(hashes), length, allowed)
+            _, members, counts = grouped(codes, len(hashes), length, allowed, of_places=False)
             for i in range(0, len(counts), 1 << 16):
                 yield pa.RecordBatch.from_arrays([*[pa.array(hashes[x[i:i + (1 << 16)] - 1]) for x in members], pa.array(counts[i:i + (1 << 16)])], [*names, "n"])
 
@@ -209,6 +226,18 @@ def semi_joined(relation: DataFrame, length: int, words: np.ndarray, phrases: np
     return relation.select("hashes", "codes").mapInArrow(run, "hashes array<long>, codes binary")
 
 
+@contextmanager
+def large_rows(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of a few blocks; the setting is put back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "4")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def distinct_hashes(words: DataFrame) -> bool:
     return not words.groupBy("h0").count().filter("count > 1").limit(1).count()
 
@@ -224,19 +253,18 @@ def frequent_phrases(documents: DataFrame, least: int = LEAST, longest: int = LO
             break
         seed += 1
     spark = documents.sparkSession
-    batches = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     known = bitmap(words.filter(F.col("n") >= least), 1)
     found = []
     relation = relation.select("hashes", "codes")
     for length in range(2, longest + 1):
         names = [f"h{k}" for k in range(length)]
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # blocks are large rows
-        counted = extended(relation, length, known).groupBy(*names).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-        found.append(written(counted, "phrases"))
+        with large_rows(spark):
+            counted = extended(relation, length, known).groupBy(*names).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+            found.append(written(counted, "phrases"))
         if length < longest:
             phrases = bitmap(found[-1], length)
-            relation = written(semi_joined(relation, length, known, phrases), "phrases")
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batches)
+            with large_rows(spark):
+                relation = written(semi_joined(relation, length, known, phrases), "phrases")
     return words, found
 
 
