@@ -80,11 +80,6 @@ def _(spark, d):
     return run_dedup.repeated_runs(table(spark, d, "documents"))
 
 
-@query("op10_repeated_lines", run_dedup.LINES_SQL)
-def _(spark, d):
-    return run_dedup.repeated_lines(table(spark, d, "documents"))
-
-
 @query("op11_hard_negatives", hard_negatives.SQL)
 def _(spark, d):
     return hard_negatives.mine(table(spark, d, "embeddings"), label=hard_negatives.shifted_labels())
