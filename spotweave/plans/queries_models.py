@@ -11,7 +11,7 @@ from spotweave.operators import (
     lattice as la, neighbors as nb, pca, roi)
 from spotweave.operators.components import component_sizes, connected_components
 from spotweave.plans import standin as v
-from spotweave.plans.queries_aggs import EXC, id_effects, rounded
+from spotweave.plans.queries_aggs import EXC, WARN_SQL, id_effects, rounded
 from spotweave.plans.queries_joins import HEX_SQL
 from spotweave.plans.registry import query
 
@@ -118,11 +118,11 @@ def _(spark, d):
     return expression_communities(spark, d).select("resolution", "seed", "id", "community")
 
 
-@query("m07_fixed_points", "select r::double as resolution, s::int as seed, count(*) as n_spots, 0::bigint as n_improvable, "
-       "0::bigint as n_detached from embeddings, (select unnest([0.4, 0.6, 0.8]) as r), (select unnest([0, 1, 2]) as s) group by r, s")
+@query("m07_fixed_points", "select 0.6::double as resolution, 0::int as seed, count(*) as n_spots, 0::bigint as n_improvable, "
+       "0::bigint as n_detached from embeddings")
 def _(spark, d):
     graph = expression_graph(spark, d)
-    return cm.fixed_points(cm.communities(points(spark, d).select("id"), graph, GRID), graph)
+    return cm.fixed_points(cm.communities(points(spark, d).select("id"), graph, [(0.6, 0)]), graph)
 
 
 # Customers of one segment and block of forty know each other; blocks hang together by one faint edge.
@@ -781,3 +781,39 @@ def _(spark, d):
     monitor.write_peaks(peaks, out, ck).awaitTermination()
     schema = peaks.schema
     return spark.read.schema(schema).parquet(out).withColumn("window_start", F.unix_seconds("window_start"))
+
+
+_PEAKS_SQL = """
+with t as (select step, time_bucket(interval '1 minute', ts) as w, count(*) as n_samples, max(cpu_percent) as peak_cpu_percent,
+  max(rss_gib) as peak_rss_gib, max(vms_gib) as peak_vms_gib, max(project_gib) as peak_project_gib, min(free_gib) as lo
+  from v_resource group by 1, 2)
+select step, cast(epoch(w) as bigint) as window_start, n_samples, peak_cpu_percent, peak_rss_gib, peak_vms_gib, peak_project_gib,
+  concat_ws(';', case when peak_cpu_percent > 80 then 'CPU_CAPACITY_ABOVE_WARNING' end, case when peak_project_gib > 100 then
+  'PROJECT_SIZE_ABOVE_WARNING' end, case when peak_project_gib > 200 then 'PROJECT_SIZE_ABOVE_CRITICAL' end, case when lo < 20 then
+  'FILESYSTEM_FREE_BELOW_WARNING' end) as warning_codes from t
+"""
+
+
+@query("t01_closed_windows", _PEAKS_SQL)
+def _(spark, d):
+    """The stream in two runs of one checkpoint; the closing event between them ends the last windows."""
+    from spotweave.streaming import monitor
+    src, out, ck = (scratch_path(spark, x) for x in ("samples", "peaks", "monitor"))
+    s = v.resource(spark, d).withColumn("ts", F.timestamp_micros(v.epoch_us("ts")))
+    s.write.parquet(src)
+    peaks = monitor.windowed_peaks(monitor.read_samples(spark, src, s.schema))
+    monitor.write_peaks(peaks, out, ck).awaitTermination()
+    monitor.close_samples(spark, src, s.schema)
+    monitor.write_peaks(peaks, out, ck).awaitTermination()
+    return spark.read.schema(peaks.schema).parquet(out).withColumn("window_start", F.unix_seconds("window_start"))
+
+
+@query("t01_first_crossings", f"select step, code, threshold, epoch_us(first_ts) as first_us, peak_observed from ({WARN_SQL})")
+def _(spark, d):
+    """First crossings as a stream over several triggers: the same as W12 over the whole table."""
+    from spotweave.streaming import monitor
+    src, out, ck = (scratch_path(spark, x) for x in ("samples", "crossings", "monitor"))
+    s = v.resource(spark, d).withColumn("ts", F.timestamp_micros(v.epoch_us("ts")))
+    s.repartition(3, "event_id").write.parquet(src)
+    monitor.write_crossings(monitor.read_samples(spark, src, s.schema, max_files=1), out, ck).awaitTermination()
+    return monitor.crossings(spark, out).select("step", "code", "threshold", v.epoch_us("first_ts").alias("first_us"), "peak_observed")
