@@ -243,3 +243,66 @@ def task_grid(rankings: DataFrame, libraries: DataFrame, completed: DataFrame, m
     done = completed.select("run_fingerprint").distinct().withColumn("_done", F.lit(True))
     return t.join(done, "run_fingerprint", "left").withColumn(
         "execution_status", F.when(F.col("_done"), "completed_reused_checkpoint").otherwise("pending")).drop("_done")
+
+
+def _stored(df: DataFrame, path: str) -> None:
+    """One folder per task fingerprint; those of the tasks in ``df`` are replaced, others stay."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_fingerprint").parquet(path)
+
+
+STATUS_SCHEMA = "task_status string, failure_reason string, n_terms long, run_fingerprint string"
+
+
+def finished_tasks(spark, folder: str) -> DataFrame:
+    """Fingerprints of the tasks whose results ``folder`` holds; failed ones are not finished."""
+    found = spark.read.schema(STATUS_SCHEMA).option("ignoreMissingFiles", True).parquet(f"{folder}/status") if _exists(spark, f"{folder}/status") else (
+        spark.createDataFrame([], STATUS_SCHEMA))
+    return found.filter("task_status <> 'failed'").select("run_fingerprint")
+
+
+def _exists(spark, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def run_tasks(ranking: DataFrame, gene_sets: DataFrame, grid: DataFrame, folder: str, permutations: int = 100, seed: int = 0,
+              min_size: int = 5, max_size: int = 500) -> DataFrame:
+    """Computes the pending tasks of a grid, stores results and status of each under its fingerprint, and returns the status.
+
+    A ranking with a missing or non-finite effect or a rank that stands twice fails; its tasks
+    leave a status row with the reason and no results, and do not stop the others. Finished
+    tasks are neither read nor written again.
+    """
+    todo = durable(grid.filter("execution_status = 'pending'").select(*RANKING, "library_id", "run_fingerprint"))
+    ours = ranking.join(todo.select(*RANKING).distinct(), RANKING, "left_semi")
+    effect = F.col("original_effect")
+    broken = ours.groupBy(*RANKING).agg(
+        F.count_if(effect.isNull() | F.isnan(effect) | (F.abs(effect) == float("inf"))).alias("_odd"), F.count(F.lit(1)).alias("_n"),
+        F.count_distinct("rank").alias("_ranks"))
+    reason = F.when(F.col("_odd") > 0, "RANKING_NOT_FINITE").when(F.col("_ranks") < F.col("_n"), "RANKING_RANK_DUPLICATE")
+    state = durable(todo.join(broken.select(*RANKING, reason.alias("failure_reason"), F.lit(True).alias("_have")), RANKING, "left").withColumn(
+        "failure_reason", F.when(F.col("_have").isNull(), "RANKING_ABSENT").otherwise(F.col("failure_reason"))).drop("_have"))
+    good = state.filter("failure_reason is null").drop("failure_reason")
+    found = enrichment(ours.join(good.select(*RANKING).distinct(), RANKING, "left_semi"),
+                       gene_sets.join(good.select("library_id").distinct(), "library_id", "left_semi"), permutations, seed, min_size, max_size)
+    _stored(found.join(good, [*RANKING, "library_id"]), f"{folder}/results")
+    kept = grid.sparkSession.read.parquet(f"{folder}/results") if _any_result(grid.sparkSession, folder) else found.limit(0).withColumn(
+        "run_fingerprint", F.lit(""))
+    n = kept.groupBy("run_fingerprint").agg(F.count(F.lit(1)).alias("n_terms"))
+    status = state.join(n, "run_fingerprint", "left").select(
+        F.when(F.col("failure_reason").isNotNull(), "failed").when(F.col("n_terms") > 0, "completed").otherwise(
+            "completed_no_eligible_results").alias("task_status"), "failure_reason",
+        F.when(F.col("failure_reason").isNull(), F.coalesce("n_terms", F.lit(0).cast("long"))).alias("n_terms"), "run_fingerprint")
+    _stored(durable(status), f"{folder}/status")
+    return grid.sparkSession.read.schema(STATUS_SCHEMA).parquet(f"{folder}/status").join(
+        grid.select("run_fingerprint", *RANKING, "library_id"), "run_fingerprint")
+
+
+def _any_result(spark, folder: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/results")
+    return any(x.isDirectory() for x in target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target))
+
+
+def task_results(spark, folder: str) -> DataFrame:
+    """The stored results of all finished tasks."""
+    return spark.read.parquet(f"{folder}/results")

@@ -665,7 +665,7 @@ def _score_sql(source: str, by: str) -> str:
 RC = "roi_label_canonical, contrast_id"
 
 
-@query("m31_enrichment_null", f"""
+NULL_SQL = f"""
 with n as (select {RC}, count(*) as n from v_rank4 group by all),
 h as (select r.*, library_id, term, n.n, count(*) over (partition by {RC}, library_id, term) as m, abs(original_effect) as w
   from v_rank4 r join v_gene_sets g on r.gene_symbol = g.gene join n using ({RC}) qualify m between 5 and 500),
@@ -699,7 +699,10 @@ select {RC}, library_id, term, round(es, 6) as es, round(nes, 6) as nes, round(p
   round(case when es >= 0 then edge else n - edge + 1 end / n::double, 6) as gene_fraction, genes as leading_edge_genes
 from t join ge using ({RC}, library_id, term) join og using ({RC}, library_id, term) join fw using ({RC}, library_id, term)
   join led using ({RC}, library_id, term) join no using ({RC}, library_id, up) left join nn using ({RC}, library_id, up) where nes is not null
-""")
+"""
+
+
+@query("m31_enrichment_null", NULL_SQL)
 def _(spark, d):
     ranking = durable(en.prepare_ranking(id_effects(spark, d)))
     t = en.enrichment(ranking, v.gene_sets(spark, d)).drop("n_permutations", "seed", "inference_status")
@@ -720,6 +723,19 @@ def _(spark, d):
     return en.task_grid(prints, libs, done).select("roi_label_canonical", "contrast_id", "library_id", "execution_status")
 
 
+@query("m32_resumed_results", NULL_SQL)
+def _(spark, d):
+    """Two runs over one folder: the second computes only what the first left, and all results are those of one run."""
+    ranking = durable(en.prepare_ranking(id_effects(spark, d)))
+    prints, sets, folder = en.ranking_fingerprints(ranking), v.gene_sets(spark, d), scratch_path(spark, "tasks")
+    libs = sets.groupBy("library_id").agg(F.sha2(F.sum(F.crc32(F.concat_ws("|", "term", "gene"))).cast("string"), 256).alias(
+        "observed_sha256"))
+    for part in (prints.filter("contrast_id like '%main%'"), prints):
+        en.run_tasks(ranking, sets, durable(en.task_grid(part, libs, en.finished_tasks(spark, folder))), folder)
+    t = en.task_results(spark, folder).drop("n_permutations", "seed", "inference_status", "run_fingerprint")
+    return rounded(t, "es", "nes", "nominal_permutation_p_value", "fdr_q_value", "tag_fraction", "gene_fraction")
+
+
 # --- cluster runs, layout, integration --------------------------------------
 
 def _label_runs(spark, d):
