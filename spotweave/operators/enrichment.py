@@ -230,7 +230,7 @@ def task_grid(rankings: DataFrame, libraries: DataFrame, completed: DataFrame, m
     """Every ranking x library task with its fingerprint and whether a finished result is reused.
 
     ``rankings`` carries ranking_sha256; ``libraries`` library_id and observed_sha256 (a handful);
-    ``completed`` the fingerprints of finished tasks.
+    ``completed`` the fingerprints of finished tasks, with the ranking's and library's names where equal rankings are tasks of their own.
     """
     libs = libraries.agg(F.collect_set(F.struct("library_id", "observed_sha256")).alias("_l")).first()[0]
     listed = F.array(*[F.struct(F.lit(x["library_id"]).alias("library_id"),
@@ -240,24 +240,27 @@ def task_grid(rankings: DataFrame, libraries: DataFrame, completed: DataFrame, m
         "gmt_sha256", "library_id", F.lit(max_size).alias("max_size"), F.lit(min_size).alias("min_size"),
         F.lit(permutations).alias("permutations"), "ranking_sha256", F.lit(seed).alias("seed"))
     t = t.withColumn("run_fingerprint", fingerprint(payload))
-    done = completed.select("run_fingerprint").distinct().withColumn("_done", F.lit(True))
-    return t.join(done, "run_fingerprint", "left").withColumn(
+    known = [c for c in ("run_fingerprint", *RANKING, "library_id") if c in completed.columns]
+    done = completed.select(*known).distinct().withColumn("_done", F.lit(True))
+    return t.join(done, known, "left").withColumn(
         "execution_status", F.when(F.col("_done"), "completed_reused_checkpoint").otherwise("pending")).drop("_done")
 
 
 def _stored(df: DataFrame, path: str) -> None:
-    """One folder per task fingerprint; those of the tasks in ``df`` are replaced, others stay."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_fingerprint").parquet(path)
+    """One folder per task (fingerprint, ranking and library); those of the tasks in ``df`` are replaced, others stay."""
+    task = F.sha2(F.concat_ws("\t", "run_fingerprint", *RANKING, "library_id"), 256)
+    df.withColumn("task", task).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("task").parquet(path)
 
 
-STATUS_SCHEMA = "task_status string, failure_reason string, n_terms long, run_fingerprint string"
+STATUS_SCHEMA = ("roi_label_canonical string, contrast_id string, library_id string, run_fingerprint string, task_status string, "
+                 "failure_reason string, n_terms long, task string")
 
 
 def finished_tasks(spark, folder: str) -> DataFrame:
-    """Fingerprints of the tasks whose results ``folder`` holds; failed ones are not finished."""
-    found = spark.read.schema(STATUS_SCHEMA).option("ignoreMissingFiles", True).parquet(f"{folder}/status") if _exists(spark, f"{folder}/status") else (
-        spark.createDataFrame([], STATUS_SCHEMA))
-    return found.filter("task_status <> 'failed'").select("run_fingerprint")
+    """The tasks whose results ``folder`` holds; failed ones are not finished."""
+    path = f"{folder}/status"
+    found = spark.read.schema(STATUS_SCHEMA).parquet(path) if _exists(spark, path) else spark.createDataFrame([], STATUS_SCHEMA)
+    return found.filter("task_status <> 'failed'").select("run_fingerprint", *RANKING, "library_id")
 
 
 def _exists(spark, path: str) -> bool:
@@ -267,7 +270,7 @@ def _exists(spark, path: str) -> bool:
 
 def run_tasks(ranking: DataFrame, gene_sets: DataFrame, grid: DataFrame, folder: str, permutations: int = 100, seed: int = 0,
               min_size: int = 5, max_size: int = 500) -> DataFrame:
-    """Computes the pending tasks of a grid, stores results and status of each under its fingerprint, and returns the status.
+    """Computes the pending tasks of a grid, stores results and status of each under its name and fingerprint, and returns the status.
 
     A ranking with a missing or non-finite effect or a rank that stands twice fails; its tasks
     leave a status row with the reason and no results, and do not stop the others. Finished
@@ -286,16 +289,16 @@ def run_tasks(ranking: DataFrame, gene_sets: DataFrame, grid: DataFrame, folder:
     found = enrichment(ours.join(good.select(*RANKING).distinct(), RANKING, "left_semi"),
                        gene_sets.join(good.select("library_id").distinct(), "library_id", "left_semi"), permutations, seed, min_size, max_size)
     _stored(found.join(good, [*RANKING, "library_id"]), f"{folder}/results")
-    kept = grid.sparkSession.read.parquet(f"{folder}/results") if _any_result(grid.sparkSession, folder) else found.limit(0).withColumn(
-        "run_fingerprint", F.lit(""))
-    n = kept.groupBy("run_fingerprint").agg(F.count(F.lit(1)).alias("n_terms"))
-    status = state.join(n, "run_fingerprint", "left").select(
+    spark, task = grid.sparkSession, ["run_fingerprint", *RANKING, "library_id"]
+    kept = spark.read.parquet(f"{folder}/results").select(*task) if _any_result(spark, folder) else todo.limit(0)
+    n = kept.groupBy(*task).agg(F.count(F.lit(1)).alias("n_terms"))
+    status = state.join(n, task, "left").select(
+        *RANKING, "library_id", "run_fingerprint",
         F.when(F.col("failure_reason").isNotNull(), "failed").when(F.col("n_terms") > 0, "completed").otherwise(
             "completed_no_eligible_results").alias("task_status"), "failure_reason",
-        F.when(F.col("failure_reason").isNull(), F.coalesce("n_terms", F.lit(0).cast("long"))).alias("n_terms"), "run_fingerprint")
+        F.when(F.col("failure_reason").isNull(), F.coalesce("n_terms", F.lit(0).cast("long"))).alias("n_terms"))
     _stored(durable(status), f"{folder}/status")
-    return grid.sparkSession.read.schema(STATUS_SCHEMA).parquet(f"{folder}/status").join(
-        grid.select("run_fingerprint", *RANKING, "library_id"), "run_fingerprint")
+    return spark.read.schema(STATUS_SCHEMA).parquet(f"{folder}/status").drop("task").join(grid.select(*task), task, "left_semi")
 
 
 def _any_result(spark, folder: str) -> bool:
@@ -305,4 +308,4 @@ def _any_result(spark, folder: str) -> bool:
 
 def task_results(spark, folder: str) -> DataFrame:
     """The stored results of all finished tasks."""
-    return spark.read.parquet(f"{folder}/results")
+    return spark.read.parquet(f"{folder}/results").drop("task")
