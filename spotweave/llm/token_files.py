@@ -30,7 +30,7 @@ from spotweave.llm.common import map_batches, pick, scratch, small_batches
 END_ID = 0
 MAGIC = "spotweave-ids-1"
 SHARD_BYTES, SHARD_DOCS = 256 << 10, 4096
-#: The dictionary's training sample: so many documents of at most so many characters, by smallest hash of the id.
+#: The dictionary's training sample: a piece of at most so many characters of so many documents, by smallest hash of the id.
 DICT_BYTES, DICT_DOCS, DICT_CHARS = 64 << 10, 400, 20_000
 #: Words, and words with what follows them up to a space, whose ids a worker remembers.
 MEMORY_WORDS, MEMORY_SEGMENTS = 500_000, 300_000
@@ -187,8 +187,13 @@ def encode(path: str, texts: list[str]) -> Iterator[np.ndarray]:
 
 def train_dictionary(documents: DataFrame, path: str, width: int) -> bytes:
     """A dictionary of the serialized ids of a bounded sample; raw content where the trainer finds too little."""
-    docs = documents.filter(F.length("text") <= DICT_CHARS)
-    sample = docs.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(DICT_DOCS)
+    # Only ids below a threshold that about twice the sample meets have their texts read and ordered.
+    share = min(1.0, 2 * DICT_DOCS / max(1, documents.count()))
+    hashed = F.xxhash64("doc_id")
+    docs = documents.filter(F.pmod(hashed, F.lit(1 << 30)) <= int(share * (1 << 30)))
+    start = 1 + F.pmod(hashed, F.greatest(F.lit(1), F.length("text") - DICT_CHARS + 1))
+    docs = docs.select("doc_id", F.substring("text", start, F.lit(DICT_CHARS)).alias("text"))
+    sample = docs.orderBy(hashed, "doc_id", F.xxhash64("text")).limit(DICT_DOCS)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids = [x.astype(f"<u{width}").tobytes() for x in encode(path, batch.column("text").to_pylist())]
