@@ -10,6 +10,7 @@ from spotweave.operators import (
     associations, autocorr as ac, cohort, communities as cm, design, enrichment as en, factorial as fx, glm,
     lattice as la, neighbors as nb, pca, roi)
 from spotweave.operators.components import component_sizes, connected_components
+from spotweave.operators.quick_communities import quick_communities
 from spotweave.plans import standin as v
 from spotweave.plans.queries_aggs import EXC, WARN_SQL, id_effects, rounded
 from spotweave.plans.queries_joins import HEX_SQL
@@ -106,11 +107,11 @@ def _(spark, d):
     return rounded(expression_graph(spark, d), "weight")
 
 
-GRID = [(r, s) for r in (0.4, 0.6, 0.8) for s in (0, 1, 2)]
+GRID = [(r, s) for r in (0.4, 0.8) for s in (0, 1)]
 
 
 def expression_communities(spark, d):
-    return cm.communities(points(spark, d).select("id"), expression_graph(spark, d), GRID)
+    return quick_communities(points(spark, d).select("id"), expression_graph(spark, d), GRID)
 
 
 @query("m07_communities")
@@ -118,30 +119,6 @@ def _(spark, d):
     return expression_communities(spark, d).select("resolution", "seed", "id", "community")
 
 
-@query("m07_fixed_points", "select 0.6::double as resolution, 0::int as seed, count(*) as n_spots, 0::bigint as n_improvable, "
-       "0::bigint as n_detached from embeddings")
-def _(spark, d):
-    graph = expression_graph(spark, d)
-    return cm.fixed_points(cm.communities(points(spark, d).select("id"), graph, [(0.6, 0)]), graph)
-
-
-# Customers of one segment and block of forty know each other; blocks hang together by one faint edge.
-@query("m07_planted_groups", """
-select r::double as resolution, s::int as seed, c_custkey::varchar as id,
-  min(c_custkey::varchar) over (partition by r, s, c_mktsegment, c_custkey // 40) as community
-from customer, (select unnest([0.4, 1.0]) as r, unnest([0, 1]) as s)
-""")
-def _(spark, d):
-    c = v.table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("m"), F.floor(F.col("c_custkey") / 40).alias("b"))
-    near = c.withColumnRenamed("id", "src").join(c.withColumnRenamed("id", "dst"), ["m", "b"]).filter("src <> dst").select(
-        "src", "dst", F.lit(1.0).alias("weight"))
-    first = c.groupBy("m", "b").agg(F.min("id").alias("src"))
-    faint = first.join(first.select("m", (F.col("b") - 1).alias("b"), F.col("src").alias("dst")), ["m", "b"]).select(
-        "src", "dst", F.lit(1e-6).alias("weight"))
-    edges = near.unionByName(faint).unionByName(faint.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
-    return cm.communities(c.select("id"), edges, [(0.4, 0), (1.0, 1)])
-
-
 def agreement_sql(by, a, b, source, minimum=1):
     """ARI and NMI per group from the contingency table."""
     return f"""
