@@ -1,5 +1,6 @@
 """Variable genes, PCA, replicated fits and enrichment: invariants and planted effects."""
 
+import hashlib
 import math
 
 import numpy as np
@@ -139,6 +140,16 @@ def test_enrichment_score_brute_force_and_null(spark):
     assert all(abs(again[t] - out[t]["nes"]) < 1e-12 for t in out)
 
 
+def test_first_places_sort_few_rows_and_short_permutations_are_ordered_whole(spark):
+    r = ranking(spark, 3000)
+    goal = spark.createDataFrame([("R", "c", 5, 3000)], "roi_label_canonical string, contrast_id string, _need long, _of long")
+    want = {(p, k): x for p in range(1, 9) for k, x in enumerate(sorted(
+        range(1, 3001), key=lambda x: (hashlib.md5(f"7:R:c:{p}:{x}".encode()).hexdigest(), x))[:5], 1)}
+    for spare in (8.0, 0.0):  # without spare places about half of the permutations fall short
+        rows = en.first_places(r, goal, 8, 7, spare).collect()
+        assert {(x["perm"], x["_pick"]): x["rank"] for x in rows} == want and len(rows) == len(want)
+
+
 def test_ranking_dedup_and_ties(spark):
     rows = [("A", "g1", 0.5, 50, 4), ("A", "g2", 0.9, 20, 4), ("B", "g3", 0.5, 30, 3), ("C", "g4", 0.7, 5, 4),
             ("D", "g5", 0.1, 40, 1), (" ", "g6", 0.3, 40, 4), ("E", "g7", None, 40, 4)]
