@@ -118,6 +118,13 @@ def test_permutation_pvalues_do_not_depend_on_partitions(spark):
     assert got[0]["g0"]["moran_p_permutation_one_sided"] <= 0.05
 
 
+def test_blocks_and_joins_of_permutations_agree(spark):
+    _, _, _, nodes, kept, values, eff = scored(spark)
+    cand = ac.screen_candidates(eff, 2)
+    got = [sorted(ac.permutation_pvalues(cand, values, nodes, kept, 99, block_spots=n).collect()) for n in (ac.BLOCK_SPOTS, 1)]
+    assert got[0] == got[1] and got[0]
+
+
 def test_nearest_neighbours_tiles_match_brute_force(spark):
     rng = np.random.default_rng(1)
     x = np.vstack([rng.normal(0, 1, (80, 5)), rng.normal(6, 0.3, (40, 5)), np.zeros((5, 5))])
