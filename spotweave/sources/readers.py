@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from spotweave.functions.exprs import barcode_core_strict, mitochondrial, parse_boolean
-from spotweave.functions.ordering import row_rank
+from spotweave.functions.runtime import durable
 from spotweave.operators.contracts import (
     ContractError, checksum_mismatch, duplicate_keys, enforce, require_columns)
 
@@ -42,25 +42,44 @@ def read_sample_sheet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _sample_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines with the sample folder (``S1`` or ``sample_id=S1``) and a file-order key."""
+    """Text lines with the sample folder (``S1`` or ``sample_id=S1``) and a key of their order.
+
+    The files of a folder follow each other by name; a split of a file is read by one task from top to bottom.
+    """
     lines = spark.read.option("recursiveFileLookup", True).text(path)
     file = F.col("_metadata.file_path")
     return lines.select(
-        F.regexp_extract(file, "([^/=]+)/[^/]+$", 1).alias("sample_id"),
+        # A pattern tried at every place of a long path, once a line, took most of a scan's time.
+        F.substring_index(F.substring_index(F.substring_index(file, "/", -2), "/", 1), "=", -1).alias("sample_id"),
+        F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"), F.col("value"))
 
 
+SPLIT = ["sample_id", "file", "block"]
+
+
+def _first_lines(lines: DataFrame) -> DataFrame:
+    """The first of the given lines of each sample: numbers only are aggregated, and one row per split is ordered."""
+    starts = lines.groupBy(*SPLIT).agg(F.min("seq").alias("seq"))
+    first = durable(starts.groupBy("sample_id").agg(F.min(F.struct("file", "block", "seq")).alias("k")).select("sample_id", "k.*"))
+    return durable(lines.join(first, [*SPLIT, "seq"]))
+
+
 def _numbered(spark: SparkSession, path: str) -> DataFrame:
-    """Line numbers (1-based) within each sample's file."""
-    return row_rank(_sample_lines(spark, path), ["sample_id"],
-                    [F.col("block").asc(), F.col("seq").asc()], "idx").drop("block", "seq")
+    """Line numbers (1-based) within each sample: the lines of the splits before, and the place in the own one."""
+    lines = _sample_lines(spark, path)
+    splits = lines.groupBy(*SPLIT).agg(F.min("seq").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy("sample_id").orderBy("file", "block").rowsBetween(W.unboundedPreceding, -1)  # one row per split
+    splits = durable(splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
+    return lines.join(splits, SPLIT).withColumn("idx", F.col("_before") + F.col("seq") - F.col("_start") + 1).drop(
+        "file", "block", "seq", "_start", "_before")
 
 
 def mtx_dimensions(spark: SparkSession, matrix_path: str) -> DataFrame:
     """n_features, n_barcodes, nnz from the size line (first line without ``%``)."""
     body = _sample_lines(spark, matrix_path).filter(~F.col("value").startswith("%"))
-    first = body.groupBy("sample_id").agg(F.min_by("value", F.struct("block", "seq")).alias("value"))
+    first = _first_lines(body)
     parts = F.split(F.trim("value"), r"\s+")
     return first.select("sample_id", *[
         parts[i].cast("long").alias(n) for i, n in enumerate(("n_features", "n_barcodes", "nnz"))])
@@ -83,8 +102,8 @@ def read_10x_count_matrix(spark: SparkSession, matrix_path: str, features_path:
     """
     body = _sample_lines(spark, matrix_path).filter(~F.col("value").startswith("%"))
     parts = F.split(F.trim("value"), r"\s+")
-    heads = body.groupBy("sample_id").agg(F.min_by(F.struct("block", "seq", "value"), F.struct("block", "seq")).alias("head"))
-    entries = body.join(heads, "sample_id").filter(F.struct("block", "seq") != F.struct("head.block", "head.seq"))
+    heads = _first_lines(body).select("sample_id", F.struct("file", "block", "seq", "value").alias("head"))
+    entries = body.join(heads, "sample_id").filter(F.struct("file", "block", "seq") != F.struct("head.file", "head.block", "head.seq"))
     x = parts[2].try_cast("double")
     bad = x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")) | (x < 0) | (x != F.floor(x))
     seen = entries.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("n_bad"))
@@ -128,7 +147,7 @@ def read_positions(spark: SparkSession, path: str) -> DataFrame:
     lines = _sample_lines(spark, path).filter(F.trim("value") != "")
     fields = F.transform(F.split("value", ","), lambda x: F.trim(F.regexp_replace(x, r'^\s*"|"\s*$', "")))
     is_head = F.array_contains(fields, "barcode")
-    heads = lines.filter(is_head).groupBy("sample_id").agg(F.min_by(fields, F.struct("block", "seq")).alias("head"))
+    heads = lines.filter(is_head).groupBy("sample_id").agg(F.min_by(fields, F.struct("file", "block", "seq")).alias("head"))
     rows = lines.filter(~is_head).select("sample_id", fields.alias("fields")).join(heads, "sample_id", "left")
     names = F.coalesce("head", F.array(*[F.lit(c) for c in POSITION_COLUMNS]))
     found = rows.select("sample_id", *[F.get("fields", F.array_position(names, c).cast("int") - 1).alias(c) for c in POSITION_COLUMNS])
