@@ -147,7 +147,7 @@ def read_positions(spark: SparkSession, path: str) -> DataFrame:
     lines = _sample_lines(spark, path).filter(F.trim("value") != "")
     fields = F.transform(F.split("value", ","), lambda x: F.trim(F.regexp_replace(x, r'^\s*"|"\s*$', "")))
     is_head = F.array_contains(fields, "barcode")
-    heads = lines.filter(is_head).groupBy("sample_id").agg(F.min_by(fields, F.struct("file", "block", "seq")).alias("head"))
+    heads = durable(lines.filter(is_head).groupBy("sample_id").agg(F.min_by(fields, F.struct("file", "block", "seq")).alias("head")))
     rows = lines.filter(~is_head).select("sample_id", fields.alias("fields")).join(heads, "sample_id", "left")
     names = F.coalesce("head", F.array(*[F.lit(c) for c in POSITION_COLUMNS]))
     found = rows.select("sample_id", *[F.get("fields", F.array_position(names, c).cast("int") - 1).alias(c) for c in POSITION_COLUMNS])
