@@ -24,6 +24,13 @@ def test_hexagon_and_isolated_spot(spark):
     assert sizes == [1] + [7] * 7
 
 
+def test_edges_carry_the_labels_that_joins_would_find(spark):
+    s = lattice(spark, [(2, 4), (2, 2), (2, 6), (1, 3), (3, 5), (20, 20)]).withColumn("kind", F.when(F.col("array_col") > 3, F.col("array_col").cast("string")))
+    got = la.hex_edges(s, label="kind").select("src", "dst", "src_label", "dst_label")
+    want = la.label_edges(la.hex_edges(s), s.select(F.col("observation_id").alias("id"), F.col("kind").alias("label"))).select(got.columns)
+    assert got.count() == want.count() == 12 and got.exceptAll(want).isEmpty()
+
+
 def test_no_edge_crosses_sections(spark):
     a, b = lattice(spark, [(0, 0), (0, 2)]), lattice(spark, [(0, 0), (0, 2)], sample="t")
     e = la.hex_edges(a.union(b)).collect()
