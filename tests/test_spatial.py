@@ -146,6 +146,21 @@ def test_nearest_neighbours_tiles_match_brute_force(spark):
         assert got == want
 
 
+def test_neighbours_of_sparse_points_beside_dense_ones_and_copies_far_from_zero(spark):
+    rng = np.random.default_rng(5)
+    dense = rng.normal(0, 0.05, (600, 2))
+    x = np.vstack([dense, rng.uniform(-6, 6, (200, 2)), dense[:20], np.full((300, 2), 3.0)]) + 1000
+    df = spark.createDataFrame(pd.DataFrame({"id": [f"p{i}" for i in range(len(x))], "vector": [list(map(float, v)) for v in x]}))
+    names = np.array([f"p{i}" for i in range(len(x))])
+    want = set()
+    for i in range(len(x)):
+        d = np.round(np.sqrt(((x - x[i]) ** 2).sum(axis=1)), 9)
+        d[i] = np.inf
+        want |= {(names[i], names[j]) for j in np.lexsort((names, d))[:6]}
+    for tile, pivots in ((None, None), (64, 40)):
+        assert {(r["src"], r["dst"]) for r in nb.nearest_neighbors(df, 6, tile_rows=tile, pivots=pivots).collect()} == want
+
+
 def test_fuzzy_weights_are_symmetric_and_bounded(spark):
     rng = np.random.default_rng(2)
     df = spark.createDataFrame(pd.DataFrame({"id": range(60), "vector": [list(map(float, v)) for v in rng.normal(size=(60, 4))]}))
