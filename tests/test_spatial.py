@@ -46,6 +46,22 @@ def test_components_of_long_paths(spark):
     assert {got[f"{i:04d}"] for i in range(151, n + 1)} == {"0151"}
 
 
+def test_components_compute_their_edges_once_and_keep_lone_vertices(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(x):
+        read.add(1)
+        return x
+
+    seen = seen.asNondeterministic()
+    edges = spark.createDataFrame([(f"{i:03d}", f"{i + 1:03d}") for i in range(40)], "src string, dst string").select(seen("src").alias("src"), "dst")
+    ids = spark.createDataFrame([(f"{i:03d}",) for i in range(45)], "id string")
+    got = {r["id"]: r["component"] for r in connected_components(ids, edges).collect()}
+    assert read.value == 40
+    assert got == {f"{i:03d}": f"{i if i > 40 else 0:03d}" for i in range(45)}
+
+
 def _dense_moran(x, comp, w):
     y = x.astype(float).copy()
     for c in set(comp):
