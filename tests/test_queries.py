@@ -118,3 +118,42 @@ def test_stream_drops_rows_behind_the_watermark(spark, tmp_path):
     got = sorted((str(r["window_start"])[11:16], r["peak_cpu_percent"], r["warning_codes"])
                  for r in spark.read.schema(peaks.schema).parquet(str(tmp_path / "out")).collect())
     assert got == [("00:00", 10.0, ""), ("01:00", 90.0, "CPU_CAPACITY_ABOVE_WARNING")]
+
+
+def test_design_eligibility_needs_no_region_gene_grid(spark, sf, monkeypatch):
+    from spotweave.operators import roi
+
+    def grid(*args, **kwargs):
+        raise AssertionError("the grid of all genes was made")
+
+    monkeypatch.setattr(roi, "pseudobulk", grid)
+    assert entry.queries()["a18_roi_design_eligibility"](spark, sf).count() == 3
+
+
+def test_the_region_gene_grid_is_never_shuffled(spark, sf):
+    import re
+
+    from spotweave.plans import queries_aggs as qa
+    plan = qa.canonical4(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    # One shuffle by region and gene: the partial sums of the triplets.
+    assert len(re.findall(r"Exchange hashpartitioning\(sample_id#\d+, roi_label_\w+#\d+, gene_id#\d+", plan)) == 1
+
+
+def test_canonical_pseudobulk_computes_its_source_once(spark):
+    from pyspark.sql import functions as F
+
+    from spotweave.operators import factorial as fx
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(x):
+        read.add(1)
+        return x
+
+    pb = spark.createDataFrame(
+        [("Q0", "A", s, f"G{i}", f"g{i}", 5, i, 1) for s in ("a", "b") for i in range(10)],
+        "sample_id string, roi_label_canonical string, roi_label_source string, gene_id string, gene_symbol string, n_spots long, "
+        "sum_raw_counts long, detected_spots long").withColumn("gene_symbol", seen.asNondeterministic()("gene_symbol"))
+    got = fx.canonical_pseudobulk(pb).collect()
+    assert read.value == 20
+    assert len(got) == 10 and all(r["n_spots"] == 10 and r["sum_raw_counts"] == 2 * int(r["gene_id"][1:]) for r in got)
