@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from spotweave.functions.digests import md5_heads
 from spotweave.operators import enrichment as en, glm, pca
 
 
@@ -150,6 +151,14 @@ def test_first_places_sort_few_rows_and_short_permutations_are_ordered_whole(spa
         assert {(x["perm"], x["_pick"]): x["rank"] for x in rows} == want and len(rows) == len(want)
 
 
+def test_leading_digits_of_md5_match_the_digests():
+    for prefix in ("", "0:R:c:", "0:3-MEDIUM:treatment_simple_in_alternative_genotype:", "é" * 70):
+        for n in (1, 3):  # the padding falls into either block
+            first, last = [f"{prefix}{p}:".encode() for p in range(10, 13)], [str(10 ** n + i).encode() for i in range(4)]
+            want = [[int(hashlib.md5(a + b).hexdigest()[:8], 16) for b in last] for a in first]
+            assert md5_heads(first, last).tolist() == want
+
+
 def test_ranking_dedup_and_ties(spark):
     rows = [("A", "g1", 0.5, 50, 4), ("A", "g2", 0.9, 20, 4), ("B", "g3", 0.5, 30, 3), ("C", "g4", 0.7, 5, 4),
             ("D", "g5", 0.1, 40, 1), (" ", "g6", 0.3, 40, 4), ("E", "g7", None, 40, 4)]
