@@ -62,6 +62,35 @@ def test_components_compute_their_edges_once_and_keep_lone_vertices(spark):
     assert got == {f"{i:03d}": f"{i if i > 40 else 0:03d}" for i in range(45)}
 
 
+def test_components_end_near_edges_in_tasks_and_join_blocks(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(30_000)], "src long, dst long")
+    got = connected_components(path.select(F.col("src").alias("id")), path, max_rounds=12)
+    assert [tuple(r) for r in got.groupBy("component").count().collect()] == [(0, 30_000)]
+    mixed = path.orderBy(F.xxhash64("src"))
+    got = connected_components(path.select(F.col("src").alias("id")), mixed, max_rounds=0, block_edges=1000)
+    assert got.select("component").distinct().count() == 1  # thirty blocks in order leave fewer links than a block
+    rng = np.random.default_rng(3)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 400, (260, 2))]
+    root = list(range(400))
+    for _ in range(400):
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    edges, ids = spark.createDataFrame(pairs, "src long, dst long"), spark.createDataFrame([(i,) for i in range(400)], "id long")
+    for size in (1, 50, 200_000):
+        found = connected_components(ids, edges, block_edges=size).collect()
+        assert {r["id"]: r["component"] for r in found} == dict(enumerate(root)) and len(found) == 400
+
+
+def test_gate_and_values_of_held_counts_are_those_of_the_triplets(spark):
+    s = lattice(spark, [(0, 2 * i) for i in range(8)] + [(9, 9)])
+    c = spark.createDataFrame([(f"s::{i:03d}", g, i + k) for i in range(9) for k, g in enumerate("ab")], "observation_id string, gene_id string, count long")
+    _, nodes, _ = ac.roi_graph(s, 3)
+    held = ac.retained_counts(c, nodes)
+    assert held.count() == 15
+    for t in (ac.gene_gate, lambda x, n: ac.expression_values(x, n, ac.gene_gate(x, n, 2))):
+        assert sorted(t(held, nodes).collect()) == sorted(t(c, nodes).collect())
+
+
 def _dense_moran(x, comp, w):
     y = x.astype(float).copy()
     for c in set(comp):
