@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from spotweave.functions.digests import md5_heads
-from spotweave.operators import enrichment as en, glm, pca
+from spotweave.operators import cohort, enrichment as en, glm, pca
 
 
 def triplets(spark, n=80, genes=12, seed=0):
@@ -61,6 +61,26 @@ def test_pca_matches_dense(spark):
     assert np.allclose(S.var(axis=0, ddof=1), v, atol=1e-3)
 
 
+def test_normalised_genes_keep_the_totals_of_all(spark):
+    _, counts, _ = triplets(spark)
+    genes = spark.createDataFrame([("g01",), ("g05",)], "gene_id string")
+    got = cohort.normalise(counts, genes=genes)
+    want = cohort.normalise(counts).filter("gene_id in ('g01', 'g05')").select(got.columns)
+    assert got.count() and sorted(got.collect()) == sorted(want.collect())
+
+
+def test_zeros_may_be_left_out_of_fits_and_size_factors(spark):
+    counts, units = replicated(spark, genes=12, units=3)
+    counts = counts.withColumn("count", F.when((F.col("gene_id") == "g03") & (F.col("biological_unit_id") < "u1"), 0).otherwise(F.col("count")).cast("long"))
+    sparse = counts.filter("count > 0")
+    key = ["contrast_id", "gene_id"]
+    a, b = (glm.fit_replicated(x, units).toPandas().set_index(key).sort_index()["log2_fold_change"] for x in (counts, sparse))
+    assert len(a) == 84 and np.allclose(a, b.loc[a.index], atol=1e-9)
+    lone = counts.filter("biological_unit_id <> 'u00'")
+    f = [{r["biological_unit_id"]: r["size_factor"] for r in glm.size_factors(x, units=units).collect()} for x in (lone, lone.filter("count > 0"))]
+    assert len(f[0]) == 11 and all(abs(f[0][u] - f[1][u]) < 1e-12 for u in f[0])
+
+
 def test_log_gamma_and_trigamma():
     xs = np.array([1e-3, 0.5, 1.0, 3.7, 25.0, 4e5])
     assert np.allclose(glm._lgamma(xs), [math.lgamma(v) for v in xs], rtol=1e-10, atol=1e-10)
