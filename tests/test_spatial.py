@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from spotweave.operators import autocorr as ac, communities as cm, lattice as la, neighbors as nb
+from spotweave.operators import autocorr as ac, communities as cm, lattice as la, neighbors as nb, quick_communities as qc
 from spotweave.operators.components import component_sizes, connected_components
 
 
@@ -282,3 +282,20 @@ def test_visits_of_clustered_points_grow_below_the_square(spark):
 
     few, many = pairs(1000), pairs(8000)
     assert np.log(many / few) / np.log(8) < 1.75 and many < 0.1 * 8000 ** 2
+
+
+def test_quick_communities_do_not_depend_on_blocks(spark):
+    groups = [[f"{b}n{i}" for i in range(5)] for b in range(8, 12)]
+    rows = [(x, y, 1.0) for ids in groups for x in ids for y in ids if x != y]
+    rows += [(x, y, 0.1) for a, b in zip(groups, groups[1:]) for x, y in ((a[0], b[1]), (b[1], a[0]))]
+    e = spark.createDataFrame(rows, "src string, dst string, weight double")
+    ids = spark.createDataFrame([(x,) for ids in [*groups, ["alone"]] for x in ids], "id string")
+    got = [sorted(map(tuple, qc.quick_communities(ids, e, [(1.0, 3), (0.5, 4)], max_sweeps=2, max_levels=2, block_edges=n).collect())) for n in (30, 1000)]
+    assert got[0] == got[1] and len(got[0]) == 2 * 21
+    for seed in (3, 4):
+        label = {r[3]: r[4] for r in got[0] if r[2] == seed}
+        members = {}
+        for x, c in label.items():
+            members.setdefault(c, []).append(x)
+        assert all(c == min(ids) for c, ids in members.items()) and members["alone"] == ["alone"]
+        assert any(len({label[x] for x in ids}) == 1 for ids in groups)
