@@ -31,7 +31,7 @@ SIDE, WIDTH, CLASSES, SINGLES = 2, 32, 64, 48
 VOCABULARY, BUCKETS = 2048, 128
 EVERY, SHARD_WINDOWS, ROUNDS = 1, 500_000, 2
 RATE, BATCH, FAN_IN, SLOTS = 0.1, 2048, 64, 64
-_COUNT_AT, _CHUNK, _UNIT = 1 << 21, 1 << 15, 1 << 30
+_COUNT_AT, _CHUNK, _UNIT, _GRAIN = 1 << 21, 1 << 15, 1 << 30, 1 << 16
 _PLACES = [-2, -1, 1, 2]
 
 
@@ -131,37 +131,66 @@ class Net:
         self.table, self.hidden, self.out, self.bias = (x.reshape(s) for x, s in zip(np.split(self.flat, cuts), self.shapes))
         self.rows = np.arange(len(_PLACES)) * (ids + 1)
 
+    def scores(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hidden values and scores of the classes, shifted by row so that none exceeds 0."""
+        h = self.table.take(context[:, 0] + self.rows[0], axis=0)
+        for k in range(1, len(_PLACES)):
+            h += self.table.take(context[:, k] + self.rows[k], axis=0)
+        h += self.hidden
+        np.tanh(h, out=h)
+        s = h @ self.out
+        reach = np.abs(self.out).sum(axis=0)  # hidden values are 1 at most
+        top = (self.bias + reach).max()
+        if top - (self.bias - reach).min() < 60:
+            s += self.bias - top
+        else:
+            s += self.bias
+            s -= s.max(axis=1, keepdims=True)
+        return h, s
+
     def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hidden values and log-probabilities of the classes, for rows of neighbour ids."""
-        z = self.hidden + self.table[context[:, 0] + self.rows[0]]
-        for k in range(1, len(_PLACES)):
-            z += self.table[context[:, k] + self.rows[k]]
-        h = np.tanh(z)
-        s = h @ self.out + self.bias
-        s -= s.max(axis=1, keepdims=True)
-        s -= np.log(np.exp(s).sum(axis=1, keepdims=True))
+        h, s = self.scores(context)
+        s -= np.log(np.exp(s) @ np.ones(s.shape[1], s.dtype))[:, None]
         return h, s
 
+    def chosen(self, context: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """Log-probability of one class per row."""
+        s = self.scores(context)[1]
+        got = s[np.arange(len(kinds)), kinds]
+        return got - np.log(np.exp(s, out=s) @ np.ones(s.shape[1], s.dtype))
+
     def gradients(self, context: np.ndarray, kinds: np.ndarray) -> tuple[float, list]:
         """Mean loss, and gradients: (rows, values) of the table, then the other weights."""
-        h, s = self.forward(context)
+        h, s = self.scores(context)
         n = len(kinds)
-        loss = -float(s[np.arange(n), kinds].mean())
-        d = np.exp(s)
-        d[np.arange(n), kinds] -= 1
-        d /= n
-        dz = (d @ self.out.T) * (1 - h * h)
+        own = s[np.arange(n), kinds]
+        d = np.exp(s, out=s)
+        total = d @ np.ones(d.shape[1], d.dtype)
+        loss = -float((own - np.log(total)).mean())
+        total *= n
+        d /= total[:, None]
+        d[np.arange(n), kinds] -= d.dtype.type(1 / n)
+        dz = d @ self.out.T
+        dz *= 1 - h * h
         at = (context + self.rows).T.reshape(-1)
+        if len(self.table) <= 1 << 16:
+            at = at.astype(np.uint16)  # sorted by digits
         order = np.argsort(at, kind="stable")
-        rows, first = np.unique(at[order], return_index=True)
-        values = np.add.reduceat(dz[order % n], first, axis=0)
-        return loss, [(rows, values), dz.sum(axis=0), h.T @ d, d.sum(axis=0)]
+        at = at[order]
+        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        values = np.add.reduceat(dz.take(order % n, axis=0), first, axis=0)
+        return loss, [(at[first].astype(np.int64), values), dz.sum(axis=0), h.T @ d, d.sum(axis=0)]
 
     def learn(self, context: np.ndarray, kinds: np.ndarray, seen: list[np.ndarray], rate: float) -> float:
         """One Adagrad step; ``seen`` holds the sums of squares."""
         loss, ((rows, g), *rest) = self.gradients(context, kinds)
-        seen[0][rows] += g * g
-        self.table[rows] -= rate * g / np.sqrt(seen[0][rows])
+        a = seen[0].take(rows, axis=0)
+        a += g * g
+        seen[0][rows] = a
+        g *= rate
+        g /= np.sqrt(a, out=a)
+        self.table[rows] -= g
         for w, g, a in zip((self.hidden, self.out, self.bias), rest, seen[1:]):
             a += g * g
             w -= rate * g / np.sqrt(a)
@@ -210,46 +239,58 @@ def _parts(flat: np.ndarray, shard: int, n: float) -> pa.RecordBatch:
 
 
 def train_shards(windows: DataFrame, words: Vocabulary, net: Net, rate: float, every: int) -> DataFrame:
-    """(shard, slot, n, w): each shard's network after one stream over its windows, in pieces."""
+    """(shard, slot, n, w): each shard's network after one stream over its windows, times its windows, in pieces.
+
+    A task adds up the networks of its shards and names the sum by the first, so that one network a task is shuffled. What it
+    adds are whole parts of 1 / ``_GRAIN``, so that the order of adding doesn't matter.
+    """
     shared = windows.sparkSession.sparkContext.broadcast((words, net.flat))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, flat = shared.value
         offsets = np.array([*_PLACES, 0]) + SIDE
         shard, own, seen, held, n, waiting = None, None, None, [], 0, 0
+        first, count, total = None, 0, np.zeros(len(flat))
 
         def step(x: np.ndarray) -> None:
-            own.learn(x[:, :-1], v.kinds[x[:, -1]], seen, rate)
+            own.learn(x[:-1].T, v.kinds[x[-1]], seen, rate)
 
         def drain(all_of_it: bool) -> None:
             nonlocal held
-            x = np.concatenate(held) if held else np.zeros((0, len(_PLACES) + 1), np.int64)
-            stop = len(x) if all_of_it else len(x) // BATCH * BATCH
+            x = np.concatenate(held, axis=1) if held else np.zeros((len(_PLACES) + 1, 0), np.int64)
+            size = x.shape[1]
+            stop = size if all_of_it else size // BATCH * BATCH
             for a in range(0, stop, BATCH):
-                step(x[a:min(a + BATCH, stop)])
-            held = [x[stop:]] if stop < len(x) else []
+                step(x[:, a:min(a + BATCH, stop)])
+            held = [x[:, stop:]] if stop < size else []
+
+        def finish() -> None:
+            nonlocal count, total
+            drain(True)
+            count += n
+            total += np.round(own.flat.astype(np.float64) * (n * _GRAIN)) / _GRAIN
 
         for batch in batches:
             for s, w in zip(batch.column("shard").to_pylist(), batch.column("ids").to_pylist()):
                 if s != shard:
                     if shard is not None:
-                        drain(True)
-                        yield _parts(own.flat.astype(np.float64) * n, shard, n)
+                        finish()
+                    first = s if first is None else first
                     shard, own, n, held = s, Net(v.pad, v.weights, flat.copy()), 0, []
                     seen = own.fresh()
                 ids = np.frombuffer(w, "<u2").astype(np.int64)
-                x = ids[np.arange(0, len(ids) - 2 * SIDE, every)[:, None] + offsets]
+                x = ids[np.arange(0, len(ids) - 2 * SIDE, every) + offsets[:, None]]
                 held.append(x)
-                n += len(x)
-                waiting += len(x)
+                n += x.shape[1]
+                waiting += x.shape[1]
                 if waiting >= _CHUNK:  # a batch of long texts is not held whole
                     drain(False)
                     waiting = 0
             if shard is not None:
                 drain(False)
         if shard is not None:
-            drain(True)
-            yield _parts(own.flat.astype(np.float64) * n, shard, n)
+            finish()
+            yield _parts(total, first, count)
 
     dealt = windows.repartition("shard").sortWithinPartitions("shard", "key")
     return dealt.mapInArrow(run, "shard long, slot int, n double, w binary")
@@ -328,8 +369,8 @@ def id_scores(model: Model, ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarr
         for a in range(0, len(places), _CHUNK):
             p = places[a:a + _CHUNK]
             hidden = line[p]
-            _, s = net.forward(line[p[:, None] + offsets])
-            got = s[np.arange(len(p)), v.kinds[hidden]].astype(np.float64) + v.shares[hidden]
+            got = np.concatenate([net.chosen(line[p[b:b + BATCH] + offsets[:, None]].T, v.kinds[hidden[b:b + BATCH]]) for b in range(0, len(p), BATCH)])
+            got = got.astype(np.float64) + v.shares[hidden]
             sums += np.bincount(owner[a:a + _CHUNK], got, len(ids))
     return sizes, sums
 

@@ -147,3 +147,14 @@ def test_unseen_strings_score_below_prose(spark, trained):
     got = {r["doc_id"]: r["mean_log_likelihood"] for r in m.score(docs.unionByName(junk), trained).collect()}
     low = got.pop(-1)
     assert sum(x > low for x in got.values()) / len(got) > 0.9
+
+
+def test_a_task_shuffles_one_network(spark):
+    rows = [(i, " ".join(f"w{j % 7}" for j in range(i))) for i in range(1, 81)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words, total = m.build_vocabulary(m.count_words(docs))
+    windows = m.masked_windows(docs, words, 40, m.EVERY).coalesce(1).cache()
+    net = m.Net(words.pad, words.weights)
+    parts = m.train_shards(windows, words, net, 0.1, m.EVERY).withColumn("task", F.spark_partition_id()).collect()
+    assert sum(r["n"] for r in parts if r["slot"] == 0) == total
+    assert len(parts) == m.SLOTS * len({r["task"] for r in parts}) < m.SLOTS * windows.select("shard").distinct().count()
