@@ -81,6 +81,32 @@ def test_zeros_may_be_left_out_of_fits_and_size_factors(spark):
     assert len(f[0]) == 11 and all(abs(f[0][u] - f[1][u]) < 1e-12 for u in f[0])
 
 
+def test_the_replicated_query_tests_every_gene_of_the_documented_minimum(spark):
+    import duckdb
+
+    from spotweave.plans import catalog
+    from spotweave.plans.queries_models import UNIT_SQL
+    from spotweave.plans.registry import with_views
+
+    con, sf = duckdb.connect(), "/root/testdata/sf0.01"  # regions of the smallest tables have too few spots
+    for t in ("lineitem", "orders", "part", "nation"):
+        con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
+    want = con.execute(with_views(UNIT_SQL + "select roi_label_canonical, gene_id from c group by 1, 2 having sum(c) >= 10")).fetchall()
+    got = catalog.QUERIES["m27_replicated_effects"](spark, sf).toPandas()
+    assert len(want) > 100 and len(got) == 7 * len(want)
+    assert set(zip(got["roi_label_canonical"], got["gene_id"])) == set(want)
+
+
+def test_a_cell_without_counts_has_a_finite_estimate():
+    cell = np.arange(16) % 4
+    x = np.column_stack([np.ones(16), cell % 2, cell // 2, (cell % 2) * (cell // 2)])
+    y = np.array([np.where(cell == 3, 0, 6 + np.arange(16) % 3), np.where(cell == 0, 0, 4), np.full(16, 5)], float)
+    both = [glm._fit_means(y, np.ones(16), x, np.full(3, 0.5), rounds=n)[0] for n in (20, 80)]
+    assert np.allclose(*both, atol=1e-6) and np.abs(both[0]).max() < 8
+    alone = glm._fit_means(y[:1], np.ones(16), x, np.full(1, 0.5))[0]
+    assert np.allclose(alone, both[1][:1], atol=1e-9)
+
+
 def test_log_gamma_and_trigamma():
     xs = np.array([1e-3, 0.5, 1.0, 3.7, 25.0, 4e5])
     assert np.allclose(glm._lgamma(xs), [math.lgamma(v) for v in xs], rtol=1e-10, atol=1e-10)
