@@ -299,3 +299,24 @@ def test_quick_communities_do_not_depend_on_blocks(spark):
             members.setdefault(c, []).append(x)
         assert all(c == min(ids) for c, ids in members.items()) and members["alone"] == ["alone"]
         assert any(len({label[x] for x in ids}) == 1 for ids in groups)
+
+
+def test_the_communities_query_is_the_whole_grid_at_fixed_points(spark, sf):
+    from spotweave.plans import queries_models as qm
+
+    labels = qm.expression_communities(spark, sf)
+    n = qm.points(spark, sf).count()
+    assert {(r[0], r[1]): r[2] for r in labels.groupBy("resolution", "seed").count().collect()} == {(r, s): n for r in (0.4, 0.6, 0.8) for s in (0, 1, 2)}
+    assert {tuple(r)[2:] for r in cm.fixed_points(labels, qm.expression_graph(spark, sf)).collect()} == {(n, 0, 0)}
+
+
+def test_communities_in_blocks_reach_a_fixed_point_too(spark):
+    groups = [[f"{b}n{i}" for i in range(6)] for b in range(8, 13)]
+    rows = [(x, y, 1.0) for ids in groups for x in ids for y in ids if x != y]
+    rows += [(x, y, 0.1) for a, b in zip(groups, groups[1:]) for x, y in ((a[0], b[1]), (b[1], a[0]))]
+    e = spark.createDataFrame(rows, "src string, dst string, weight double")
+    ids = spark.createDataFrame([(x,) for x in [*sum(groups, []), "alone"]], "id string")
+    labels = cm.communities(ids, e, [(1.0, 3)], block_edges=60)  # three blocks
+    assert [tuple(r)[2:] for r in cm.fixed_points(labels, e).collect()] == [(31, 0, 0)]
+    found = {r["id"]: r["community"] for r in labels.collect()}
+    assert found == {**{x: min(g) for g in groups for x in g}, "alone": "alone"}
