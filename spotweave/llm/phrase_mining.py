@@ -21,10 +21,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from spotweave.llm.common import pick, small_batches, written
+from spotweave.llm.common import pick, scratch, small_batches, written
 
 LEAST, LONGEST, FIRST, COVER = 10, 3, 2000, 50
 BLOCK_CODES, BITMAP_BITS, GROUP_ROWS = 1 << 18, 26, 100_000
+ROW_GROUP_BYTES = 1 << 23
 _SLOT = 13  # 64-bit words of a piece of the bitmap, as a power of two
 _UPPER = bytes(range(0x41, 0x5B))
 _TABLE = bytes.maketrans(_UPPER + b".,;:!?\x0b\x0c\r\t", _UPPER.lower() + b"\n" * 9 + b" ")
@@ -238,6 +239,15 @@ def large_rows(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def relation_written(relation: DataFrame) -> DataFrame:
+    """Written in row groups of a few blocks: a row is megabytes, and Parquet holds at least 100 in a group, which a reader decodes at once."""
+    path = scratch(relation.sparkSession, "phrases")
+    sizes = {"parquet.block.size": ROW_GROUP_BYTES, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 2,
+             "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 2}
+    relation.write.options(**sizes).parquet(path)
+    return relation.sparkSession.read.schema(relation.schema).parquet(path)
+
+
 def distinct_hashes(words: DataFrame) -> bool:
     return not words.groupBy("h0").count().filter("count > 1").limit(1).count()
 
@@ -247,7 +257,7 @@ def frequent_phrases(documents: DataFrame, least: int = LEAST, longest: int = LO
     docs = pick(documents, text="string", lang="string").filter("text is not null").withColumn("lang", F.coalesce("lang", F.lit("und")))
     seed = 0
     while True:
-        relation = written(occurrences(docs, seed), "phrases")
+        relation = relation_written(occurrences(docs, seed))
         words = written(word_counts(relation), "phrases")
         if distinct_hashes(words):
             break
@@ -264,7 +274,7 @@ def frequent_phrases(documents: DataFrame, least: int = LEAST, longest: int = LO
         if length < longest:
             phrases = bitmap(found[-1], length)
             with large_rows(spark):
-                relation = written(semi_joined(relation, length, known, phrases), "phrases")
+                relation = relation_written(semi_joined(relation, length, known, phrases))
     return words, found
 
 

@@ -90,3 +90,16 @@ def test_odd_rows(spark):
     got = sorted(map(tuple, m.mine(df).collect()))
     assert got == brute(rows) and got
     assert m.mine(df.limit(0)).collect() == [] and m.mine(df.filter("text = ''")).collect() == []
+
+
+def test_relations_are_written_in_row_groups_of_few_blocks(spark, monkeypatch):
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(m, "BLOCK_CODES", 2000)
+    monkeypatch.setattr(m, "ROW_GROUP_BYTES", 1 << 16)
+    rows = [(" ".join(f"w{i}x{j}" for j in range(1000)), "en") for i in range(90)]
+    docs = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
+    relation = m.relation_written(m.occurrences(docs, 0))
+    files = [pq.ParquetFile(f.replace("file://", "")).metadata for f in relation.inputFiles()]
+    assert sum(x.num_rows for x in files) == relation.count() > 40
+    assert max(x.row_group(i).num_rows for x in files for i in range(x.num_row_groups)) <= 10
