@@ -320,3 +320,14 @@ def test_communities_in_blocks_reach_a_fixed_point_too(spark):
     assert [tuple(r)[2:] for r in cm.fixed_points(labels, e).collect()] == [(31, 0, 0)]
     found = {r["id"]: r["community"] for r in labels.collect()}
     assert found == {**{x: min(g) for g in groups for x in g}, "alone": "alone"}
+
+
+def test_shuffled_orders_are_those_of_whole_digests(monkeypatch):
+    import hashlib
+
+    ids = np.array(sorted(f"S{i % 3}::{'x' * (i % 4)}{i}".encode() for i in range(300)), dtype=object)
+    want = [sorted(range(300), key=lambda i: (hashlib.md5(f"1729:{p}:".encode() + ids[i]).digest(), i)) for p in (1, 12, 199)]
+    assert [x.tolist() for x in ac.shuffled_orders(ids, [1, 12, 199], 1729)] == want
+    heads = ac.md5_heads
+    monkeypatch.setattr(ac, "md5_heads", lambda first, last: heads(first, last) >> np.uint32(27))  # most share their head
+    assert [x.tolist() for x in ac.shuffled_orders(ids, [1, 12, 199], 1729)] == want
